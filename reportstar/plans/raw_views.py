@@ -81,7 +81,8 @@ def cashier(column: str, n: int) -> Column:
     return F.concat(F.lit("cashier_"), F.col(column) % n)
 
 
-def raw_cash(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_cash(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    """Columns of the cash report and any ``extra`` ones made from ``events``."""
     k = _third("event_id")
     name = terminal_name(k)
     third = F.col("event_id") % 3
@@ -97,6 +98,7 @@ def raw_cash(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(third == 0, F.concat(F.lit("("), name, F.lit(")")))
         .when(third == 1, "Money deposited to member")
         .alias("comment"),
+        *extra,
     )
 
 
