@@ -10,23 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reportstar.functions.text import _col, strip
+from reportstar.functions.text import _col, capture, strip
 
 # Fixed values of the amount format.
 THOUSANDS = "\u202f"
 CURRENCY = "TND"
 
 MONEY = "decimal(18,2)"
+NUMBER_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+DECIMAL_PATTERN = r"^-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
 def to_number(c: Column | str) -> Column:
     """Plain decimal or scientific notation to DOUBLE; blanks around it are allowed.
 
-    The character test keeps out what only a JVM number parser takes (``1.5d``,
-    ``Infinity``, ``NaN``).
+    The pattern keeps out what only a JVM number parser takes (``1.5d``, ``Infinity``, ``NaN``).
     """
-    s = strip(c)
-    return F.when(s.rlike(r"^[0-9+\-.eE]+$"), s.try_cast("double"))
+    return capture(strip(c), NUMBER_PATTERN, 0).try_cast("double")
 
 
 def parse_amount(c: Column | str, drop_thousands: bool = True) -> Column:
@@ -45,7 +46,7 @@ def parse_amount_lenient(c: Column | str, header: str) -> Column:
     """Keep only digits, dots and minus signs; a repeated header cell is NULL."""
     s = strip(c)
     body = F.when(F.lower(s) != header.lower(), F.replace(s, F.lit(","), F.lit(".")))
-    return F.regexp_replace(body, r"[^0-9.\-]", "").try_cast("double")
+    return capture(F.regexp_replace(body, r"[^0-9.\-]+", ""), DECIMAL_PATTERN, 0).try_cast("double")
 
 
 def to_int(c: Column | str) -> Column:
@@ -56,7 +57,7 @@ def to_int(c: Column | str) -> Column:
 def to_id(c: Column | str) -> Column:
     """Id text to BIGINT; exact for whole numbers, ``35.0`` and ``35.9`` give 35."""
     return F.coalesce(
-        F.when(strip(c).rlike(r"^[+-]?[0-9]+$"), strip(c).try_cast("bigint")),
+        capture(strip(c), INTEGER_PATTERN, 0).try_cast("bigint"),
         to_number(c).try_cast("bigint"),
     )
 

@@ -21,6 +21,8 @@ TERMINAL_RULES = (
     ("Computer", "startswith", "GAMEFY"),
 )
 OTHER_TERMINAL = "Other"
+# Fixed value: a comment that is nothing but a name in parentheses.
+TERMINAL_PATTERN = r"^\(([^\n]+)\)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -32,6 +34,15 @@ def strip(c: Column | str) -> Column:
     return F.btrim(_col(c), F.lit(BLANKS))
 
 
+def capture(c: Column | str, pattern: str, group: int) -> Column:
+    """Group of the first match, NULL without one; the text is evaluated only once.
+
+    Casts that follow then see a NULL where nothing matched: a ``try_cast`` that fails is
+    many times slower than one that succeeds.
+    """
+    return F.get(F.regexp_extract_all(_col(c), F.lit(pattern), F.lit(group)), F.lit(0))
+
+
 def has_marker(c: Column | str) -> Column:
     """True when the cell holds anything but blanks."""
     return F.coalesce(strip(c) != "", F.lit(False))
@@ -39,9 +50,7 @@ def has_marker(c: Column | str) -> Column:
 
 def extract_terminal(c: Column | str) -> Column:
     """Name inside the outermost parentheses of a one-line comment, else NULL."""
-    s = strip(c)
-    wrapped = s.startswith("(") & s.endswith(")") & ~s.contains("\n") & (F.length(s) > 2)
-    return F.when(wrapped, F.substring(s, F.lit(2), F.length(s) - 2))
+    return capture(strip(c), TERMINAL_PATTERN, 1)
 
 
 def classify_terminal(

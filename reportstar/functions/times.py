@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from reportstar.functions.text import _col, strip
+from reportstar.functions.text import _col, capture, strip
 
 # The text formats of the reports.
 STAMP_PATTERN = (
-    r"^([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})\s+([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
+    r"^#([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})\s+([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
 )
 DURATION_PATTERN = (
     r"(?U)(?:([0-9]+)[\s\x1c-\x1f]*h[\s\x1c-\x1f]*)?([0-9]+)[\s\x1c-\x1f]*min"
@@ -31,24 +31,24 @@ def parse_datetime(c: Column | str, trim: bool = True) -> Column:
     """``23.03.2026 03:23:54`` to TIMESTAMP_NTZ; no time zone is ever applied.
 
     One-digit fields are accepted. The text is rearranged and cast, since the only
-    parser with a pattern works in the session's time zone.
+    parser with a pattern works in the session's time zone. The leading mark makes text
+    that does not match, and so stays as it is, fail the cast.
     """
-    s = strip(c) if trim else _col(c)
-    iso = F.regexp_replace(s, STAMP_PATTERN, "$3-$2-$1 $4:$5:$6")
-    return F.nullif(iso, s).try_cast("timestamp_ntz")
+    marked = F.concat(F.lit("#"), strip(c) if trim else _col(c))
+    return F.regexp_replace(marked, STAMP_PATTERN, "$3-$2-$1 $4:$5:$6").try_cast("timestamp_ntz")
 
 
 def _part(c: Column, pattern: str, group: int) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit("")).try_cast("int")
+    return capture(c, pattern, group).try_cast("int")
 
 
 def parse_duration(c: Column | str) -> Column:
     """First ``[h h] m min`` in the text as whole minutes; NULL without one."""
     s = _col(c)
-    hours = F.regexp_extract(s, DURATION_PATTERN, 1)
-    spelled = F.when(hours == "", F.lit(0)).otherwise(hours.try_cast("int"))
+    # A missing hour leaves the zero that is put before it.
+    hours = F.concat(F.lit("0"), F.regexp_extract(s, DURATION_PATTERN, 1)).try_cast("int")
     minutes = _part(s, DURATION_PATTERN, 2)
-    return (spelled.cast("bigint") * 60 + minutes).try_cast("int")
+    return (hours.cast("bigint") * 60 + minutes).try_cast("int")
 
 
 def parse_duration_lenient(c: Column | str) -> Column:

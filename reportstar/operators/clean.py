@@ -31,8 +31,7 @@ class Cell:
     blank_ok: bool = False
 
     def value(self) -> Column:
-        parsed = self.parse(F.col(self.source))
-        return F.when(has_marker(self.source), parsed) if self.blank_ok else parsed
+        return self.parse(F.col(self.source))
 
     def is_bad(self) -> Column:
         failed = self.value().isNull()

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from reportstar.functions.numbers import money, money_sum
 from reportstar.functions.times import day
-from reportstar.operators.ordinals import exact_quantiles
+from reportstar.operators.ordinals import exact_quantiles, moments, value_counts
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -31,20 +31,16 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def summary(df: DataFrame) -> DataFrame:
-    """Count, mean, std, min, quartiles and max of the numeric columns; quartiles are exact."""
+    """Count, mean, std, min, quartiles and max of the numeric columns; quartiles are exact.
+
+    The data are read once; all figures come from the staged counts of distinct values.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    flat = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{s}_{i}") for i, c in enumerate(numeric) for s, f in stats.items()]
-    )
-    rows = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{s}_{i}").alias(s) for s in stats])
-        for i, c in enumerate(numeric)
-    ]
-    quartiles = exact_quantiles(df, numeric, QUARTILES).groupBy("column").agg(
+    counts = value_counts(df, numeric)
+    quartiles = exact_quantiles(counts, QUARTILES).groupBy("column").agg(
         *[F.max(F.when(F.col("share") == q, F.col("value"))).alias(f"q{int(q * 100)}") for q in QUARTILES]
     )
-    return flat.select(F.inline(F.array(*rows))).join(quartiles, "column", "left").select(
+    return moments(counts).join(quartiles, "column").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,43 +29,47 @@ def _ranged(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 def with_ordinal(df: DataFrame, id_col: str, order: Sequence[Column]) -> DataFrame:
     """Number the rows 1..n in ``order`` and put the number first.
 
-    Each range of keys is sorted by its own task. The offset of a range is the number of
-    rows before it, a table with one row per range, hence the window without a partition
-    and the broadcast.
+    Each range of keys is sorted by its own task. The numbers of a range start after the
+    rows of the ranges before it; that table has one row per range, i.e. per task that
+    wrote, hence the driver adds it up and it is broadcast.
     """
     placed = _ranged(df, order, id_col)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(_PART)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(_PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
+    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).orderBy(_PART).collect()
+    starts = accumulate((r["n"] for r in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(r[_PART], start) for r, start in zip(sizes, starts)], f"{_PART} bigint, __offset bigint"
     )
     row = F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return placed.join(F.broadcast(offsets), _PART).select(
-        (F.col("__offset") + row + 1).cast("bigint").alias(id_col), *df.columns
+        (F.col("__offset") + row + 1).alias(id_col), *df.columns
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Linearly interpolated quantiles: ``column, share, value``.
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, v, n``: distinct values of numeric columns and how often they occur, staged.
 
-    Values are counted first, the distinct ones range-partitioned, and only the ranges
-    that hold a wanted rank are looked at row by row.
+    The values of a column are sorted into ranges, so that ranks can be found range by range.
     """
-    pairs = F.explode(
+    pairs = F.inline(
         F.array(
             *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]
         )
     )
     counts = (
-        df.select(pairs.alias("p"))
-        .select("p.column", "p.v")
+        df.select(pairs)
         .filter("v is not null")
         .groupBy("column", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    placed = _ranged(counts, [F.col("column"), F.col("v")], "quantiles").drop(_POS)
-    ranges = placed.groupBy("column", _PART).agg(F.sum("n").alias("w"))
+    return _ranged(counts, [F.col("column"), F.col("v")], "value_counts").drop(_POS)
+
+
+def exact_quantiles(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """Linearly interpolated quantiles of ``value_counts``: ``column, share, value``.
+
+    Only the ranges that hold a wanted rank are looked at row by row.
+    """
+    ranges = counts.groupBy("column", _PART).agg(F.sum("n").alias("w"))
     prior = Window.partitionBy("column").orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("start", F.coalesce(F.sum("w").over(prior), F.lit(0)))
 
@@ -74,8 +79,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         ranges.groupBy("column")
         .agg(F.sum("w").alias("total"))
         .select("column", "total", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
-        .select("column", "share", (place - F.floor(place)).alias("frac"),
-                F.explode(F.array(F.floor(place), F.ceil(place))).alias("rank"))
+        .select(
+            "column",
+            "share",
+            (place - F.floor(place)).alias("frac"),
+            F.explode(F.array(F.floor(place), F.ceil(place))).alias("rank"),
+        )
         .distinct()
     )
     wanted = (
@@ -85,9 +94,26 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
         .distinct()
     )
     running = Window.partitionBy("column", _PART).orderBy("v")
-    rows = placed.join(F.broadcast(wanted), ["column", _PART]).withColumn(
+    rows = counts.join(F.broadcast(wanted), ["column", _PART]).withColumn(
         "upto", F.col("start") + F.sum("n").over(running)
     )
     hits = rows.join(F.broadcast(ranks), "column").filter("rank >= upto - n and rank < upto")
     low, high = F.min("v"), F.max("v")
     return hits.groupBy("column", "share").agg((low + (high - low) * F.max("frac")).alias("value"))
+
+
+def moments(counts: DataFrame) -> DataFrame:
+    """``column, count, mean, std, min, max`` of ``value_counts``."""
+    means = counts.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+    )
+    # One row per column.
+    gap = F.col("v") - F.col("mean")
+    squares = counts.join(F.broadcast(means), "column").groupBy("column", "count", "mean", "min", "max").agg(
+        F.sum(gap * gap * F.col("n")).alias("squares")
+    )
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
+    return squares.select("column", "count", "mean", std.alias("std"), "min", "max")

@@ -18,10 +18,12 @@ Tables = dict[str, DataFrame]
 def natural_keys(sources: Sequence[tuple[DataFrame, str]], name: str) -> DataFrame:
     """Distinct trimmed names over several tables, without NULL and blank ones.
 
-    Every source column is reduced map-side before the one shuffle.
+    The rows are reduced to distinct values first, map-side and then by one shuffle, so
+    that only those are trimmed, tested and made distinct again.
     """
-    parts = [df.select(strip(column).alias(name)) for df, column in sources]
-    return reduce(DataFrame.unionByName, parts).filter(has_marker(name)).distinct()
+    parts = [df.select(F.col(column).alias(name)) for df, column in sources]
+    values = reduce(DataFrame.unionByName, parts).distinct()
+    return values.select(strip(name).alias(name)).filter(has_marker(name)).distinct()
 
 
 def dim_cashier(cleaned: Tables) -> DataFrame:

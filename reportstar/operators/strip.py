@@ -20,9 +20,13 @@ def is_preamble() -> Column:
 
 
 def is_page_marker() -> Column:
-    """Any cell, mapped or not, holds ``Page x/y``; the plain text test goes first."""
-    found = F.exists("cells", lambda c: c.contains(PAGE_TEXT) & c.rlike(PAGE_PATTERN))
-    return F.coalesce(found, F.lit(False))
+    """Any cell, mapped or not, holds ``Page x/y``.
+
+    No match can span cells joined by a line break. The pattern is tried only on rows that
+    pass the plain text test.
+    """
+    joined = F.array_join("cells", "\n")
+    return F.coalesce(joined.contains(PAGE_TEXT) & joined.rlike(PAGE_PATTERN), F.lit(False))
 
 
 def is_repeated_header(layout: Layout) -> Column:

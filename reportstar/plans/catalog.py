@@ -89,13 +89,12 @@ def q_grid_accounting(spark, sf_dir):
 @query
 def q_scan_text_grid(spark, sf_dir):
     path = new_path(spark, "printed")
-    cells = F.transform("cells", lambda c: F.coalesce(c, F.lit("")))
     # A file holds one report of bounded length, so it may be sorted within its task.
     (
         v.raw_grid(spark, sf_dir)
         .repartition("source_file")
         .sortWithinPartitions("source_file", "row_idx")
-        .select("source_file", F.array_join(cells, "\t"))
+        .select("source_file", F.array_join("cells", v.CELL_SEP))
         .write.partitionBy("source_file")
         .text(path)
     )
@@ -103,7 +102,7 @@ def q_scan_text_grid(spark, sf_dir):
         "source_file", F.regexp_extract("source_file", "source_file=(cash_[0-9]+)", 1)
     )
     return strip_artifacts(grid, LAYOUTS["cash"], keep_position=True).select(
-        "source_file", "row_idx", "date", "amount", F.nullif("comment", F.lit("")).alias("comment")
+        "source_file", "row_idx", "date", "amount", "comment"
     )
 
 

@@ -122,7 +122,7 @@ GRID = f"""grid AS (
     CASE WHEN o_orderstatus = 'F' THEN 'Expense' ELSE 'Income' END AS income_expense,
     CASE WHEN o_orderkey % 2 = 0 THEN 'Cash' ELSE 'Card' END AS payment_method,
     o_orderpriority AS transaction_type, {_money('c')} AS amount,
-    CASE o_orderkey % 3 WHEN 0 THEN '(' || {_terminal('k')} || ')' WHEN 1 THEN 'Money deposited to member' END AS comment,
+    CASE o_orderkey % 3 WHEN 0 THEN '(' || {_terminal('k')} || ')' WHEN 1 THEN 'Money deposited to member' ELSE '' END AS comment,
     'cash_' || (o_orderkey // 1000) AS source_file, CAST({GRID_ROW} AS INTEGER) AS row_idx
   FROM (SELECT *, {_cents('o_totalprice')} AS c, (o_orderkey // 3) % 12 AS k FROM orders))"""
 

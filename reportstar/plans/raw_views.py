@@ -7,19 +7,18 @@ narrow work except the lookup of the item names.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportstar.functions.numbers import CURRENCY, THOUSANDS
 from reportstar.functions.text import TERMINAL_RULES
 from reportstar.operators.lookup import attach
-from reportstar.sources.grid import GRID_SCHEMA
+from reportstar.sources.tables import scan_table
 
 # Prefix of ordinary computer terminals.
 COMPUTER = TERMINAL_RULES[2][2]
 GRID_WIDTH = 60
+CELL_SEP = "\t"
 ROWS_PER_PAGE = 40
 ROWS_PER_FILE = 1000
 # A page of the grid takes its data rows, a blank, the page marker, a blank and a header.
@@ -27,7 +26,7 @@ GRID_PAGE = ROWS_PER_PAGE + 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def cents(amount: str) -> Column:
@@ -36,14 +35,8 @@ def cents(amount: str) -> Column:
 
 def money_text(value: Column) -> Column:
     """Whole cents as the reports print them."""
-    size = F.abs(value)
-    return F.concat(
-        F.when(value < 0, "-").otherwise(""),
-        F.replace(F.format_number(F.floor(size / 100), 0), F.lit(","), F.lit(THOUSANDS)),
-        F.lit(","),
-        F.lpad((size % 100).cast("string"), 2, "0"),
-        F.lit(f" {CURRENCY}"),
-    )
+    shown = F.translate(F.format_number(value / 100, 2), ",.", f"{THOUSANDS},")
+    return F.concat(shown, F.lit(f" {CURRENCY}"))
 
 
 def duration_text(minutes: Column) -> Column:
@@ -180,19 +173,14 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def _row(index: Column, cells: dict[int, Column | str], blank: str | None = "") -> Column:
-    """One grid row; cells without content are ``blank``."""
-    def cell(i: int) -> Column:
-        value = cells.get(i, blank)
-        return value if isinstance(value, Column) else F.lit(value).cast("string")
-
-    return F.struct(
-        index.cast("int").alias("row_idx"), F.array(*[cell(i) for i in range(GRID_WIDTH)]).alias("cells")
-    )
-
-
-def _only(condition: Column, rows: Sequence[Column]) -> Column:
-    return F.when(condition, F.array(*rows)).otherwise(F.slice(F.array(*rows), 1, 0))
+def _row(index: Column, cells: dict[int, Column | str]) -> Column:
+    """Place and cells of one grid row."""
+    parts, at = [], 0
+    for i, value in sorted(cells.items()):
+        parts += [F.lit(CELL_SEP * (i - at)), value if isinstance(value, Column) else F.lit(value)]
+        at = i
+    parts.append(F.lit(CELL_SEP * (GRID_WIDTH - 1 - at)))
+    return F.struct(index.cast("int").alias("row_idx"), F.split(F.concat(*parts), CELL_SEP).alias("cells"))
 
 
 # Header texts of the cash report; the last one stands a cell before its data.
@@ -229,20 +217,20 @@ def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             21: F.col("o_orderpriority"),
             40: money_text(cents("o_totalprice")),
             51: F.when(third == 0, F.concat(F.lit("("), terminal_name(_third("o_orderkey")), F.lit(")")))
-            .when(third == 1, "Money deposited to member"),
+            .when(third == 1, "Money deposited to member")
+            .otherwise(""),
         },
-        blank=None,
     )
     preamble = [
         _row(F.lit(0), {0: "Cash Reports"}),
         _row(F.lit(1), {55: "23/03/2026"}),
-        _row(F.lit(2), {}, blank=None),
+        _row(F.lit(2), {}),
         _row(F.lit(3), {}),
         _row(F.lit(4), GRID_HEADER),
     ]
     number = F.concat(F.lit("Page "), page + 1, F.lit(f"/{ROWS_PER_FILE // ROWS_PER_PAGE}"))
     between = [
-        _row(at + 1, {}, blank=None),
+        _row(at + 1, {}),
         _row(at + 2, {54: number}),
         _row(at + 3, {}),
         _row(at + 4, {0: "Cashier ", 4: "Date"}),
@@ -252,15 +240,18 @@ def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         _row(at + 6, {8: "76245,51 TND"}),
         _row(at + 7, {54: number}),
     ]
-    rows = F.concat(
-        _only(k == 0, preamble),
-        F.array(data),
-        _only(ends_page, between),
-        _only(k == ROWS_PER_FILE - 1, footer),
+    rows = F.flatten(
+        F.array_compact(
+            F.array(
+                F.when(k == 0, F.array(*preamble)),
+                F.array(data),
+                F.when(ends_page, F.array(*between)),
+                F.when(k == ROWS_PER_FILE - 1, F.array(*footer)),
+            )
+        )
     )
-    grid = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.lit("cash").alias("report"),
         F.concat(F.lit("cash_"), F.floor(key / ROWS_PER_FILE)).alias("source_file"),
         F.inline(rows),
     )
-    return grid.select(*[F.col(f.name).cast(f.dataType) for f in GRID_SCHEMA.fields])
