@@ -45,7 +45,7 @@ def capture(c: Column | str, pattern: str, group: int) -> Column:
 
 def has_marker(c: Column | str) -> Column:
     """True when the cell holds anything but blanks."""
-    return F.coalesce(strip(c) != "", F.lit(False))
+    return F.coalesce(F.ltrim(_col(c), F.lit(BLANKS)) != "", F.lit(False))
 
 
 def extract_terminal(c: Column | str) -> Column:

@@ -33,8 +33,8 @@ def _centred(products: str, a: str, b: str) -> Column:
     return (n * F.col(products) - F.col(a) * F.col(b)).cast("double") / F.col("n")
 
 
-def _fit(series: DataFrame, keys: Sequence[str], freq: str) -> DataFrame:
-    """One row per series: trend, weekday effects and spread.
+def _fit(series: DataFrame, freq: str) -> DataFrame:
+    """One row per ``series``: trend, weekday effects and spread.
 
     The series are reduced once, per weekday, to exact sums of t, y and their products.
     Trend, weekday means and the residual sum of squares follow from those, so residuals
@@ -44,13 +44,13 @@ def _fit(series: DataFrame, keys: Sequence[str], freq: str) -> DataFrame:
     t = F.floor(F.unix_date("ds") / step_days(freq)).cast("decimal(10,0)")
     weekdays = (
         series.select(
-            *keys,
+            "series",
             "ds",
             (F.weekday("ds") if daily else F.lit(0)).alias("wd"),
             t.alias("t"),
             money("y").alias("y"),
         )
-        .groupBy(*keys, "wd")
+        .groupBy("series", "wd")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.max("ds").alias("last_ds"),
@@ -68,7 +68,7 @@ def _fit(series: DataFrame, keys: Sequence[str], freq: str) -> DataFrame:
         (F.col("t").cast("double") / F.col("n")).alias("t"),
         (F.col("y").cast("double") / F.col("n")).alias("y"),
     )
-    whole = weekdays.groupBy(*keys).agg(
+    whole = weekdays.groupBy("series").agg(
         F.collect_list(means).alias("weekdays"),  # at most seven
         F.max("last_ds").alias("last_ds"),
         F.max("last_t").cast("double").alias("last_t"),
@@ -79,8 +79,8 @@ def _fit(series: DataFrame, keys: Sequence[str], freq: str) -> DataFrame:
         F.sum("ty").alias("ty"),
         F.sum("yy").alias("yy"),
     )
-    trend = whole.filter("n > 0").select(
-        *keys,
+    trend = whole.select(
+        "series",
         "weekdays",
         "last_ds",
         "last_t",
@@ -107,7 +107,7 @@ def _fit(series: DataFrame, keys: Sequence[str], freq: str) -> DataFrame:
     )
     left_over = F.col("var_y") - F.col("slope") * F.col("cov") - explained
     return effects.select(
-        *keys,
+        "series",
         "last_ds",
         "last_t",
         "mean_t",
@@ -128,15 +128,17 @@ def forecast(series: DataFrame, keys: Sequence[str], horizon: int, freq: str = "
     ``series`` holds ``*keys, ds, y`` with every period present. All values are at least 0.
     """
     step = step_days(freq)
+    # One column for all keys, whose names then cannot meet those of the model.
+    owner = F.struct(*keys) if keys else F.lit(0)
     ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")
-    future = _fit(series, keys, freq).select("*", ahead).withColumn(
+    future = _fit(series.select(owner.alias("series"), "ds", "y"), freq).select("*", ahead).withColumn(
         "ds", F.date_add("last_ds", F.col("k") * step)
     )
     season = F.coalesce(F.try_element_at("effects", F.weekday("ds") if step == 1 else F.lit(0)), F.lit(0.0))
     point = F.col("mean_y") + F.col("slope") * (F.col("last_t") + F.col("k") - F.col("mean_t")) + season
     margin = F.lit(BAND) * F.col("spread")
     return future.select(
-        *keys,
+        *[F.col("series")[k].alias(k) for k in keys],
         "ds",
         clamp_zero(point).alias("yhat"),
         clamp_zero(point - margin).alias("yhat_lower"),

@@ -19,11 +19,13 @@ def natural_keys(sources: Sequence[tuple[DataFrame, str]], name: str) -> DataFra
     """Distinct trimmed names over several tables, without NULL and blank ones.
 
     The rows are reduced to distinct values first, map-side and then by one shuffle, so
-    that only those are trimmed, tested and made distinct again.
+    that only those are trimmed, tested and made distinct again. The test mentions the
+    count because a test of the name alone would be pushed back down to every row.
     """
     parts = [df.select(F.col(column).alias(name)) for df, column in sources]
-    values = reduce(DataFrame.unionByName, parts).distinct()
-    return values.select(strip(name).alias(name)).filter(has_marker(name)).distinct()
+    values = reduce(DataFrame.unionByName, parts).groupBy(name).agg(F.count(F.lit(1)).alias("__n"))
+    named = values.filter(F.when(F.col("__n") > 0, has_marker(name)))
+    return named.select(strip(name).alias(name)).distinct()
 
 
 def dim_cashier(cleaned: Tables) -> DataFrame:
