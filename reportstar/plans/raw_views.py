@@ -15,8 +15,15 @@ from reportstar.functions.text import TERMINAL_RULES
 from reportstar.operators.lookup import attach
 from reportstar.sources.tables import scan_table
 
-# Prefix of ordinary computer terminals.
+# Twelve terminals: six computers, three consoles, two special ones and a kiosk.
 COMPUTER = TERMINAL_RULES[2][2]
+TERMINALS = (
+    *[f"{COMPUTER}{i:02}" for i in range(1, 7)],
+    *[f"PS5 ({i})" for i in range(1, 4)],
+    f"{COMPUTER}-VIP",
+    "PS-VIP",
+    "Kiosk 1",
+)
 GRID_WIDTH = 60
 CELL_SEP = "\t"
 ROWS_PER_PAGE = 40
@@ -30,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("bigint")
+    return F.expr(f"cast(round({amount} * 100) as bigint)")
 
 
 def money_text(value: Column) -> Column:
@@ -51,19 +58,12 @@ def stamp_text(ts: Column | str) -> Column:
 
 
 def terminal_name(k: Column) -> Column:
-    """Twelve terminals: six computers, three consoles, two special ones and a kiosk."""
-    return (
-        F.when(k < 6, F.concat(F.lit(COMPUTER), F.lpad((k + 1).cast("string"), 2, "0")))
-        .when(k < 9, F.concat(F.lit("PS5 ("), k - 5, F.lit(")")))
-        .when(k == 9, f"{COMPUTER}-VIP")
-        .when(k == 10, "PS-VIP")
-        .otherwise("Kiosk 1")
-    )
+    return F.get(F.array(*[F.lit(name) for name in TERMINALS]), k.cast("int"))
 
 
 def _third(column: str) -> Column:
     """Position 0..11 that does not depend on the id modulo 3."""
-    return F.floor(F.col(column) / 3) % 12
+    return F.expr(f"{column} div 3 % 12")
 
 
 def _padded(text: Column) -> Column:
@@ -71,13 +71,13 @@ def _padded(text: Column) -> Column:
 
 
 def cashier(column: str, n: int) -> Column:
-    return F.concat(F.lit("cashier_"), F.col(column) % n)
+    return F.expr(f"concat('cashier_', {column} % {n})")
 
 
 def raw_cash(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """Columns of the cash report and any ``extra`` ones made from ``events``."""
     k = _third("event_id")
-    name = terminal_name(k)
+    name, inner = terminal_name(k), F.when(k == 11, " ").otherwise("")
     third = F.col("event_id") % 3
     return table(spark, sf_dir, "events").select(
         _padded(cashier("user_id", 7)).alias("cashier"),
@@ -87,8 +87,7 @@ def raw_cash(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
         F.col("event_type").alias("transaction_type"),
         money_text(cents("value")).alias("amount"),
         # Inside the parentheses of the kiosk stand blanks, which the name keeps.
-        F.when((third == 0) & (k == 11), F.concat(F.lit("( "), name, F.lit(" )")))
-        .when(third == 0, F.concat(F.lit("("), name, F.lit(")")))
+        F.when(third == 0, F.concat(F.lit("("), inner, name, inner, F.lit(")")))
         .when(third == 1, "Money deposited to member")
         .alias("comment"),
         *extra,
