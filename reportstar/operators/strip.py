@@ -78,9 +78,20 @@ def account(grid: DataFrame, layout: Layout) -> DataFrame:
     )
 
 
+def _narrow_files(grid: DataFrame, last: int) -> DataFrame:
+    widths = grid.groupBy("source_file").agg(F.max(F.size("cells")).alias("width"))
+    return widths.filter(F.col("width") <= last)
+
+
 def check_width(grid: DataFrame, layout: Layout) -> None:
-    """Raise ``KeyError`` when a file is too narrow for a mapped column."""
+    """Raise ``KeyError`` when a file is too narrow for a mapped column.
+
+    The preamble shows the width of a printed grid, and its few rows are all that is read,
+    unless one of them is short: then the rows below decide.
+    """
     last = max(layout.columns)
-    narrow = account(grid, layout).filter(F.col("width") <= last).select("source_file", "width").take(1)
+    if not _narrow_files(grid.filter(is_preamble()), last).take(1):
+        return
+    narrow = _narrow_files(grid, last).take(1)
     if narrow:
         raise KeyError(f"{narrow[0]['source_file']} has {narrow[0]['width']} columns, needs {last + 1}")

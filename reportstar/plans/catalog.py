@@ -202,17 +202,18 @@ def q_parse_datetime(spark, sf_dir):
 
 @query
 def q_datetime_edges(spark, sf_dir):
+    stamp = F.col("stamp")
     shown = _pick(
         F.col("event_id") % 7,
-        v.stamp_text("ts"),
-        F.date_format("ts", "d.M.yyyy H:m:s"),
-        F.date_format("ts", "dd.MM.yy HH:mm:ss"),
-        F.date_format("ts", "'31.02.'yyyy HH:mm:ss"),
-        F.date_format("ts", "'\u00a0'dd.MM.yyyy   HH:mm:ss' '"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        stamp,
+        F.regexp_replace(stamp, r"\b0([0-9])", "$1"),
+        F.concat(F.substring(stamp, 1, 6), F.substring(stamp, 9, 20)),
+        F.concat(F.lit("31.02."), F.substring(stamp, 7, 20)),
+        F.concat(F.lit("\u00a0"), F.replace(stamp, F.lit(" "), F.lit("   ")), F.lit(" ")),
+        F.substring(F.col("ts").cast("string"), 1, 19),
         None,
     )
-    return v.table(spark, sf_dir, "events").select(
+    return v.table(spark, sf_dir, "events").withColumn("stamp", v.stamp_text("ts")).select(
         "event_id",
         parse_datetime(shown).alias("trimmed"),
         parse_datetime(shown, trim=False).alias("as_is"),

@@ -53,8 +53,12 @@ def duration_text(minutes: Column) -> Column:
     )
 
 
-def stamp_text(ts: Column | str) -> Column:
-    return F.date_format(ts, "dd.MM.yyyy HH:mm:ss")
+def stamp_text(ts: str) -> Column:
+    """Cut from the ISO text, since formatting would go through the session's time zone."""
+    iso = f"cast({ts} as string)"
+    return F.expr(
+        f"concat(substr({iso}, 9, 2), '.', substr({iso}, 6, 2), '.', substr({iso}, 1, 4), ' ', substr({iso}, 12, 8))"
+    )
 
 
 def terminal_name(k: Column) -> Column:

@@ -66,6 +66,9 @@ def test_narrow_grid_fails(spark):
     check_width(grid_of(spark, PRINTED), CASH)
     with pytest.raises(KeyError):
         check_width(grid_of(spark, PRINTED, width=51), CASH)
+    title = spark.createDataFrame([("cash", "b", 0, ["Cash Reports"])], GRID_SCHEMA)
+    body = grid_of(spark, PRINTED, name="b").filter("row_idx >= 5")
+    check_width(title.unionByName(body), CASH)
 
 
 def write_text(folder, name, printed, width=60):
