@@ -35,7 +35,7 @@ from reportstar.plans import raw_views as v
 from reportstar.sources.grid import scan_text_grid, scan_with_header
 from reportstar.sources.layouts import LAYOUTS
 from reportstar.sources.star import read_star, write_all
-from reportstar.staging import new_path
+from reportstar.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,11 +65,19 @@ def _cash_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one(spark, sf_dir, "cash").withColumnRenamed("date", "transaction_datetime")
 
 
-def _stock_and_items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The stock fact without its other keys, and the items."""
-    cleaned = _cleaned(spark, sf_dir, "stock")
-    items = star.dim_item(cleaned)
-    fact = resolve_fk(cleaned["stock"], "item_name", items, "item_name", "item_id", null_safe=True)
+def _stock_and_items(
+    spark: SparkSession, sf_dir: str, priced: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """What series need of the stock fact, and the items.
+
+    With prices the fact is read for two results, so its texts are parsed once and staged.
+    """
+    wanted = ["date", "item_name", "category", "in_out", "quantity"] + ["unit_price_tnd"] * priced
+    stock = _one(spark, sf_dir, "stock").select(*wanted)
+    if priced:
+        stock = stage(stock, "stock")
+    items = star.dim_item({"stock": stock})
+    fact = resolve_fk(stock, "item_name", items, "item_name", "item_id", null_safe=True)
     return fact.drop("item_name", "category").withColumnRenamed("date", "movement_datetime"), items
 
 
@@ -687,14 +695,14 @@ def q_series_skipped(spark, sf_dir):
 
 @query
 def q_avg_price(spark, sf_dir):
-    prices = series.average_prices(*_stock_and_items(spark, sf_dir))
+    prices = series.average_prices(*_stock_and_items(spark, sf_dir, priced=True))
     return prices.withColumn("avg_price", F.round("avg_price", 6))
 
 
 @query
 def q_derived_revenue(spark, sf_dir):
     """What the quantities sold per week are worth at mean prices."""
-    stock, items = _stock_and_items(spark, sf_dir)
+    stock, items = _stock_and_items(spark, sf_dir, priced=True)
     sold = series.consumption_series(stock, items, "W")[0].select(
         F.col("ds").alias("date"), "item_name", F.col("y").alias("predicted_qty")
     )
@@ -710,7 +718,7 @@ def _rounded(df: DataFrame, places: int = 4) -> DataFrame:
 
 @query
 def q_forecast_revenue(spark, sf_dir):
-    stock, items = _stock_and_items(spark, sf_dir)
+    stock, items = _stock_and_items(spark, sf_dir, priced=True)
     return _rounded(fc.forecast_tables(_cash_fact(spark, sf_dir), stock, items, 30, "D")["revenue"], 3)
 
 
@@ -728,7 +736,7 @@ def q_forecast_weekly(spark, sf_dir):
 
 @query
 def q_forecast_summary(spark, sf_dir):
-    stock, items = _stock_and_items(spark, sf_dir)
+    stock, items = _stock_and_items(spark, sf_dir, priced=True)
     tables = fc.forecast_tables(_cash_fact(spark, sf_dir), stock, items, 30, "D")
     summary = fc.forecast_summary(tables)
     totals = summary["totals"].select(
