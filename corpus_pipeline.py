@@ -7,8 +7,9 @@ shared folder and reads it back as the next stage's input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reportstar.llm import mixing, quality
+from reportstar.llm import decontaminate, linededup, mixing, quality, simhash
 from reportstar.staging import stage
 
 
@@ -16,12 +17,30 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs)
 
 
 STAGES = [
     ("quality", good_quality),
+    ("line_dedup", unrepeated_lines),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
     ("mix", target_mix),
 ]
 

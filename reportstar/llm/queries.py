@@ -5,18 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import langid, mixing, quality
+from reportstar.llm import decontaminate, langid, linededup, mixing, quality, simhash
+from reportstar.llm.common import with_row_key
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
+    groups = simhash.group_documents(docs, "row")
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     return mixing.mix_sources(docs, copy_name="copy_no", key_name="order_key")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and passage found in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"), "found")
+    return found.select("doc_id", F.inline("found"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit_languages(docs), "found")
@@ -40,10 +54,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and runs removed from each document, and the digest of the text that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.dedup_lines(docs, report="report")
+    return kept.select(
+        "doc_id",
+        F.col("report.lines").cast("long").alias("n_lines"),
+        F.col("report.removed").cast("long").alias("n_removed"),
+        F.col("report.runs").cast("long").alias("n_runs"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_mix_sources": op4_mix_sources,
+    "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLE = {
@@ -67,5 +97,42 @@ counts AS (
 SELECT doc_id, source, n_chars, copy_no::INT AS copy_no,
        md5('{mixing.SEED}|' || doc_id || '|' || copy_no) AS order_key
 FROM (SELECT *, unnest(generate_series(1, n)) AS copy_no FROM counts WHERE n > 0)
+""",
+    "op9_line_dedup": f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+  FROM documents WHERE text IS NOT NULL),
+counted AS (
+  SELECT *, len(regexp_extract_all(line, '[^ \\t\\n\\x0B\\f\\r]+')) AS w FROM lines),
+seq AS (
+  SELECT doc_id, pos, line, w, row_number() OVER d AS i, sum(w) OVER d AS upto,
+         coalesce(lead(pos) OVER d, max_pos + 1) AS following
+  FROM (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS max_pos FROM counted) WHERE w > 0
+  WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+ends AS (
+  SELECT a.doc_id, a.i, min(b.i) AS j
+  FROM seq a JOIN seq b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + {linededup.MIN_WORDS - 1}
+       AND b.upto - a.upto + a.w >= {linededup.MIN_WORDS}
+  GROUP BY a.doc_id, a.i),
+runs AS (
+  SELECT e.doc_id, e.i, e.j, string_agg(s.line, chr(10) ORDER BY s.i) AS run
+  FROM ends e JOIN seq s ON s.doc_id = e.doc_id AND s.i BETWEEN e.i AND e.j GROUP BY e.doc_id, e.i, e.j),
+later AS (
+  SELECT doc_id, i, j FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM runs) WHERE copy > 1),
+gone AS (
+  SELECT DISTINCT c.doc_id, c.pos
+  FROM later l JOIN seq s ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.j
+  JOIN counted c ON c.doc_id = s.doc_id AND c.pos >= s.pos AND c.pos < s.following),
+marked AS (
+  SELECT c.doc_id, c.pos, c.line, g.pos IS NOT NULL AS removed,
+         lag(g.pos IS NOT NULL, 1, false) OVER (PARTITION BY c.doc_id ORDER BY c.pos) AS before
+  FROM counted c LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.pos = c.pos)
+SELECT d.doc_id, coalesce(m.n_lines, 0) AS n_lines, coalesce(m.n_removed, 0) AS n_removed, coalesce(m.n_runs, 0) AS n_runs,
+       sha256(coalesce(m.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+         count(*) FILTER (removed AND NOT before) AS n_runs,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed) AS kept
+  FROM marked GROUP BY doc_id) m ON m.doc_id = d.doc_id
 """,
 }
