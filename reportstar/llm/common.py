@@ -31,6 +31,17 @@ def with_row_key(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` that lets Spark remove the shuffle files of the written plan at its end."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return stage(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 30):
     """Yield ``(first row, bytes, row bounds)`` of whole texts; NULL is an empty text.
 
@@ -112,7 +123,7 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
     edges is reduced before the shuffle, and its join is one that adaptive execution can split.
     """
     edges = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct()
-    edges = stage(edges, name)
+    edges = staged(edges, name)
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
@@ -123,7 +134,7 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        edges = stage(small, name)
+        edges = staged(small, name)
         sign = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(sign) == before:
             break

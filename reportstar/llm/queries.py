@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import decontaminate, langid, linededup, mixing, quality, simhash
+from reportstar.llm import decontaminate, langid, linededup, mixing, quality, simhash, suffix_dedup
 from reportstar.llm.common import with_row_key
 
 
@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
     groups = simhash.group_documents(docs, "row")
@@ -68,6 +75,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_mix_sources": op4_mix_sources,
     "op6_decontaminate": op6_decontaminate,

@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.llm.common import append_column, components, free_name, text_chunks, with_row_key
-from reportstar.staging import stage
+from reportstar.llm.common import append_column, components, free_name, staged, text_chunks, with_row_key
 
 LIMIT = 2
 WORDS = 3
@@ -126,8 +125,8 @@ def links(prints: DataFrame) -> DataFrame:
 def group_documents(docs: DataFrame, row: str) -> DataFrame:
     """``row, doc_id, f, component_id`` of every row; ``f`` is the fingerprint as a signed number."""
     hashed = append_column(docs.select(F.col(row).alias("row"), "doc_id", F.col("text").cast("string").alias("text")), "text", "f", T.LongType(), lambda c: pa.array(fingerprints(c).view(np.int64)))
-    table = stage(hashed.select("row", "doc_id", "f"), "simhash")
-    prints = stage(table.groupBy("f").agg(F.min("doc_id").alias("least")), "simhash_distinct")
+    table = staged(hashed.select("row", "doc_id", "f"), "simhash")
+    prints = staged(table.groupBy("f").agg(F.min("doc_id").alias("least")), "simhash_distinct")
     found = components(links(prints), "a", "b", "simhash_components")
     named = prints.join(found, F.col("f") == F.col("node"), "left").withColumn("c", F.coalesce("component", "f"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
