@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import decontaminate, langid, linededup, mixing, quality, simhash, suffix_dedup
+from reportstar.llm import decontaminate, embed_dedup, langid, linededup, mixing, quality, simhash, suffix_dedup
 from reportstar.llm.common import with_row_key
 
 
@@ -74,6 +74,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.group_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_simhash": op3_simhash,
@@ -82,6 +86,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE = {
