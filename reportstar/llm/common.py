@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,15 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` refers to it inside a lambda.
+
+    A column of an earlier projection would be copied into the lambda when a filter is pushed below
+    that projection, and then be computed for every element.
+    """
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def with_row_key(docs: DataFrame, name: str) -> DataFrame:
     """Number the rows; ``docs`` must be a scan or a staged table, whose rows stay in place."""
     return docs.withColumn(name, F.monotonically_increasing_id())

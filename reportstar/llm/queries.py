@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import decontaminate, embed_dedup, langid, linededup, mixing, quality, simhash, suffix_dedup
+from reportstar.llm import decontaminate, embed_dedup, html_text, langid, licenses, linededup, mixing, quality, simhash, suffix_dedup
 from reportstar.llm.common import with_row_key
 
 
@@ -20,6 +20,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.fit_labeller(pages), "text")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_row_key(table(spark, sf_dir, "documents").select("doc_id", "text"), "row")
     groups = simhash.group_documents(docs, "row")
@@ -31,6 +37,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, copy_name="copy_no", key_name="order_key")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and passage found in it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,8 +90,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_html_text": op2_html_text,
     "op3_simhash": op3_simhash,
     "op4_mix_sources": op4_mix_sources,
+    "op5_license_scan": op5_license_scan,
     "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
@@ -89,6 +101,11 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
+_QUOTE = "'"
+_NOTICES = ", ".join(
+    "(" + ", ".join(_QUOTE + x.replace(_QUOTE, 2 * _QUOTE) + _QUOTE for x in pair) + ")" for pair in licenses.TEMPLATES.items()
+)
+
 ORACLE = {
     "op4_mix_sources": f"""
 WITH sizes AS (
@@ -110,6 +127,29 @@ counts AS (
 SELECT doc_id, source, n_chars, copy_no::INT AS copy_no,
        md5('{mixing.SEED}|' || doc_id || '|' || copy_no) AS order_key
 FROM (SELECT *, unnest(generate_series(1, n)) AS copy_no FROM counts WHERE n > 0)
+""",
+    "op5_license_scan": f"""
+WITH templates(license, notice) AS (VALUES {_NOTICES}),
+words AS (
+  SELECT NULL AS doc_id, license, regexp_extract_all(lower(notice), '[\\p{{L}}\\p{{N}}]+') AS w FROM templates
+  UNION ALL
+  SELECT doc_id, NULL, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') FROM documents),
+shingles AS (
+  SELECT doc_id, license, i - 1 AS i, array_to_string(w[i : i + {licenses.WORDS - 1}], ' ') AS s
+  FROM (SELECT *, unnest(generate_series(1, len(w) - {licenses.WORDS - 1})) AS i FROM words WHERE len(w) >= {licenses.WORDS})),
+sizes AS (
+  SELECT license, greatest({licenses.LEAST}, pow(2, ceil(log2(count(*))))::BIGINT) AS size, count(DISTINCT s) AS n
+  FROM shingles WHERE license IS NOT NULL GROUP BY license),
+hits AS (
+  SELECT d.doc_id, t.license, z.size, z.n, d.i, d.s
+  FROM shingles d JOIN (SELECT DISTINCT license, s FROM shingles WHERE license IS NOT NULL) t ON d.s = t.s
+  JOIN sizes z ON z.license = t.license WHERE d.doc_id IS NOT NULL),
+windows AS (SELECT *, unnest([i // size, i // size - 1]) AS k FROM hits),
+shares AS (
+  SELECT doc_id, license, k * size AS first_word, count(DISTINCT s) / n::DOUBLE AS containment
+  FROM windows WHERE k >= 0 GROUP BY doc_id, license, k, size, n)
+SELECT doc_id, license, max(containment) AS containment, arg_max(first_word, containment * 1e12 - first_word)::BIGINT AS first_word
+FROM shares WHERE containment >= {licenses.CONTAINMENT} GROUP BY doc_id, license
 """,
     "op9_line_dedup": f"""
 WITH lines AS (
