@@ -15,9 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix_dedup.remove_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
-    )
+    counts = ["repeats.n_bytes", "repeats.n_removed", "repeats.n_spans"]
+    return suffix_dedup.remove_repeats(docs).select("doc_id", *counts, F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,10 @@ equal offsets. Then:
 4. Repeated windows go back to every anchor of their context, become byte spans per document and are removed.
 
 Ranges of hashes are equally full, and copies are reduced before the exchange, so no range gets a hot group
-of copies. Joins back to anchors have one row per hash on one side, which adaptive execution can split.
+of copies. A gram in the neighbourhood of very many different texts (a passage that a third of all documents
+share) would still fill one range: its windows go, by 128-bit names, through a count that is reduced before
+the exchange. Both ways are exact. Joins back to anchors have a stored table with one row per hash on one
+side, which adaptive execution can split.
 
 Null and empty texts have no bytes. Repeated rows repeat each other. Matches never cross documents; ties
 don't matter, as all occurrences are removed. Other columns pass through ``remove_repeats``.
@@ -29,13 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reportstar.llm.common import RollingHash, free_name, mix, staged, text_chunks, with_row_key
 
 LENGTH = 200
 GRAM = 32
 #: Distinct contexts that a merging task gets on average.
-MERGE_ROWS = 60_000
+MERGE_ROWS = 10_000
+#: A gram with more distinct contexts than this has its windows named and counted one by one instead.
+CROWDED = 5_000
 _PLACE = 20  # bits of a position in a segment
 _KEY = 8  # bytes of the gram's hash before each suffix
 
@@ -248,6 +254,39 @@ def repeated_windows(common: np.ndarray, before: list[bytes], lo: np.ndarray, hi
     return found
 
 
+_WINDOW_SCHEMA = "h1 long, h2 long, gram long, context long, lo short, hi short, a int"
+
+
+def _name_windows(batches):
+    """128-bit names of all windows of the contexts of crowded grams."""
+    for batch in batches:
+        for raw, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for x in found:
+                a = np.arange(x["lo"], x["hi"] + 1)
+                data = np.frombuffer(raw[x["place"] - x["hi"] : x["place"] - x["lo"] + LENGTH], np.uint8)
+                start = x["hi"] - a
+                names = RollingHash(data).slices(start, start + LENGTH), RollingHash(~data).slices(start, start + LENGTH)
+                same = lambda k: pa.array(np.full(len(a), x[k]))  # noqa: B023, E731
+                columns = [*(pa.array(n.view(np.int64)) for n in names), same("gram"), same("context")]
+                columns += [same("lo").cast(pa.int16()), same("hi").cast(pa.int16()), pa.array(a.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["h1", "h2", "gram", "context", "lo", "hi", "a"])
+
+
+def _crowded_spans(texts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Spans of the contexts of crowded grams, from counts of equal windows."""
+    windows = staged(texts.join(_by_row(contexts), "row").select("text", "suffixes").mapInArrow(_name_windows, _WINDOW_SCHEMA), "windows")
+    twice = staged(windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated_windows")
+    span = F.struct((-F.col("a")).alias("start"), (F.lit(LENGTH) - F.col("a")).alias("stop"))
+    found = windows.join(twice, ["h1", "h2"]).groupBy("gram", "context", "lo", "hi").agg(F.collect_list(span).alias("spans"))
+    return found.select("gram", "context", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"), "spans")
+
+
+def _by_row(contexts: DataFrame) -> DataFrame:
+    """One occurrence of each context, gathered by the row of its text."""
+    suffix = F.struct(F.col("one.place").alias("place"), "lo", "hi", "gram", "context", (F.col("n") == 1).cast("int").alias("alone"))
+    return contexts.groupBy(F.col("one.row").alias("row")).agg(F.collect_list(suffix).alias("suffixes"))
+
+
 _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 _SPAN_SCHEMA = "gram long, context long, lo int, hi int, spans array<struct<start:int,stop:int>>"
 
@@ -279,18 +318,22 @@ def repeats(keyed: DataFrame, row: str) -> DataFrame:
     schema = "row long, place int, lo short, hi short, gram long, context long"
     all_anchors = staged(texts.filter(F.length("text") >= LENGTH).mapInArrow(_find_anchors, schema), "anchors")
     grams = all_anchors.groupBy("gram").agg(F.count("*").alias("n"), (F.min("context") != F.max("context")).alias("mixed"))
-    kept = staged(all_anchors.join(grams.filter("n > 1").drop("n"), "gram"), "repeated_grams")
+    grams = staged(grams.filter("n > 1").drop("n"), "grams")
+    kept = staged(all_anchors.join(grams, "gram"), "repeated_grams")
     key = ["gram", "context", "lo", "hi"]
     classes = kept.groupBy(*key).agg(F.count("*").alias("n"), F.any_value("mixed").alias("mixed"), F.min(F.struct("row", "place")).alias("one"))
     classes = staged(classes, "contexts")
-    sorted_ones = classes.filter("mixed")
-    parts = max(1, -(-sorted_ones.count() // MERGE_ROWS))
-    suffix = F.struct(F.col("one.place").alias("place"), "lo", "hi", "gram", "context", (F.col("n") == 1).cast("int").alias("alone"))
-    wanted = sorted_ones.groupBy(F.col("one.row").alias("row")).agg(F.collect_list(suffix).alias("suffixes"))
+    mixed = classes.filter("mixed")
+    crowded = staged(mixed.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > CROWDED), "crowded_grams")
+    parts = max(1, -(-mixed.count() // MERGE_ROWS))
+    wanted = _by_row(mixed.join(crowded, "gram", "left_anti"))
     runs = texts.join(wanted, "row").select("text", "suffixes").mapInArrow(_make_runs(parts), _RUN_SCHEMA)
     merged = runs.groupBy("part").applyInArrow(_merge_runs, _SPAN_SCHEMA)
+    if crowded.count():
+        merged = merged.unionByName(_crowded_spans(texts, mixed.join(crowded, "gram", "left_semi").filter("mixed")))
     whole = F.array(F.struct((-F.col("hi").cast("int")).alias("start"), (F.lit(LENGTH) - F.col("lo").cast("int")).alias("stop")))
     copies = classes.filter("n > 1").select(*key, whole.alias("spans"))
+    merged = merged.select("gram", "context", F.col("lo").cast("short").alias("lo"), F.col("hi").cast("short").alias("hi"), "spans")
     spans = staged(copies.unionByName(merged), "repeated_contexts")
     found = kept.join(spans, key).select("row", "place", F.explode("spans").alias("s"))
     span: Column = F.struct((F.col("place") + F.col("s.start")).alias("start"), (F.col("place") + F.col("s.stop")).alias("stop"))
@@ -309,38 +352,31 @@ def without(raw: bytes, spans: list[dict]) -> tuple[bytes, int]:
     return b"".join(parts) + raw[at:], runs
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and ``n_bytes, n_removed, n_spans, kept``; ``kept`` is binary.
+def remove_repeats(docs: DataFrame, name: str = "repeats") -> DataFrame:
+    """``docs`` with struct column ``name`` (``n_bytes, n_removed, n_spans, kept``); ``kept`` is binary.
 
-    ``kept`` may split a character where a repeated string does.
+    ``kept`` may split a character where a repeated string does. If ``name`` is taken, underscores are
+    put before it.
     """
-    row, spans = free_name(docs, "suffix_row"), free_name(docs, "suffix_spans")
+    row, spans, name = free_name(docs, "suffix_row"), free_name(docs, "suffix_spans"), free_name(docs, name)
+    found_row = free_name(docs, "suffix_found_row")
     keyed = with_row_key(docs, row)
-    found = repeats(keyed, row).select(F.col("row").alias(row + "_"), F.col("spans").alias(spans))
-    joined = keyed.join(found, F.col(row) == F.col(row + "_"), "left").drop(row, row + "_")
-    names = ["n_bytes", "n_removed", "n_spans", "kept"]
-    if set(names) & set(docs.columns):
-        raise ValueError(f"columns {names} are added here: rename those of the input")
-    schema = joined.drop(spans).schema
-    for name in names[:3]:
-        schema = schema.add(name, "long")
-    schema = schema.add("kept", "binary")
+    found = repeats(keyed, row).select(F.col("row").alias(found_row), F.col("spans").alias(spans))
+    joined = keyed.join(found, F.col(row) == F.col(found_row), "left").drop(row, found_row)
+    kind = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
+    schema = joined.drop(spans).schema.add(name, kind)
 
     def cut(batches):
         for batch in batches:
             at, text = batch.schema.get_field_index(spans), batch.column(batch.schema.get_field_index("text"))
-            sizes, removed, runs, kept = [], [], [], []
+            rows = []
             for raw, own in zip(text.cast(pa.binary()).to_pylist(), batch.column(at).to_pylist(), strict=True):
                 raw = raw or b""
                 left, n = without(raw, own or [])
-                sizes.append(len(raw))
-                removed.append(len(raw) - len(left))
-                runs.append(n)
-                kept.append(left)
+                rows.append((len(raw), len(raw) - len(left), n, left))
+            own = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
             others = [i for i in range(batch.num_columns) if i != at]
-            columns = [batch.column(i) for i in others]
-            columns += [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in others), *names])
+            columns = [*(batch.column(i) for i in others), pa.StructArray.from_arrays(own, kind.names)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(batch.schema.names[i] for i in others), name])
 
     return joined.mapInArrow(cut, schema)
-
