@@ -125,7 +125,7 @@ def append_column(docs: DataFrame, text: str, name: str, kind: T.DataType, value
 
 
 def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
-    """Smallest label reachable from each linked node: rows ``(node, component)``.
+    """Smallest label reachable from each node, where that is not the node itself: ``(node, component)``.
 
     Alternates the large-star and the small-star step, each one grouping by a minimum and one
     join, until the edges stay as they are. Both steps keep the number of edges; a node with many

@@ -239,6 +239,7 @@ def group_vectors(vectors: DataFrame) -> DataFrame:
     result = result.withColumn("c", F.coalesce("component", "u"))
     least = result.groupBy("c").agg(F.min("least").alias("smallest"))
     result = result.join(least, "c").select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "smallest")
+    result = staged(result, "vector_groups")
     joined = named.select("vec_id", "good", "h1", "h2").join(result.withColumn("good", F.lit(True)), ["good", "h1", "h2"], "left")
     component = F.when(F.col("good"), F.col("smallest")).otherwise(F.col("vec_id"))
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.llm.common import free_name
+from reportstar.llm.common import free_name, staged
 
 SEED = "mix-1"
 #: Target share of the source that holds a third of the rows; all others share the rest equally.
@@ -58,11 +58,11 @@ def mix_sources(
     """Rows of ``docs`` by their copies in a global random order, with the columns of ``docs``.
 
     ``copy_name`` and ``key_name`` also keep the number of the copy, from 1, and the key of the order.
-    The rates are joined on the source; adaptive execution splits the source that holds most rows.
+    The rates are stored and joined on the source; adaptive execution splits the source that holds most rows.
     """
     copy, key = copy_name or free_name(docs, "mix_copy"), key_name or free_name(docs, "mix_key")
     s, cdf = free_name(docs, "mix_source"), free_name(docs, "mix_cdf")
-    rate = rates(docs, TARGET if weights is None else weights, default).select(F.col("s").alias(s), F.col("cdf").alias(cdf))
+    rate = staged(rates(docs, TARGET if weights is None else weights, default), "rates").select(F.col("s").alias(s), F.col("cdf").alias(cdf))
     u = uniform(F.lit(seed), F.col("doc_id"))
     count = F.size(F.filter(F.col(cdf), lambda c: c <= u))
     copies = F.explode(F.sequence(F.lit(1), count))

@@ -130,7 +130,7 @@ def group_documents(docs: DataFrame, row: str) -> DataFrame:
     found = components(links(prints), "a", "b", "simhash_components")
     named = prints.join(found, F.col("f") == F.col("node"), "left").withColumn("c", F.coalesce("component", "f"))
     least = named.groupBy("c").agg(F.min("least").alias("component_id"))
-    labels = named.join(least, "c").select(F.col("f").alias("lf"), "component_id")
+    labels = staged(named.join(least, "c").select(F.col("f").alias("lf"), "component_id"), "simhash_labels")
     return table.join(labels, F.col("f") == F.col("lf")).drop("lf")
 
 
