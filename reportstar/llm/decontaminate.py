@@ -31,6 +31,10 @@ FOUND = T.ArrayType(
 )
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int32()), ("length", pa.int32())]))
 _PREFILTER = 1 << 22
+#: Characters of texts that are hashed together.
+TOGETHER = 1 << 18
+#: Shared q-grams that are looked at at once.
+SLICE = 2_000_000
 
 
 def plain(text: str | None) -> str:
@@ -63,67 +67,111 @@ class Passages:
         self.maybe = np.zeros(_PREFILTER, bool)
         self.maybe[(self.gram >> np.uint64(42)).astype(np.int64)] = True
 
-    def search(self, text: str | None) -> list[dict]:
-        text = plain(text)
-        found: dict[int, tuple[int, int, int]] = {}
+    def search(self, texts: list[str | None]) -> list[list[dict]]:
+        """Passages found in each text; texts are hashed and looked up ``TOGETHER`` characters at a time."""
+        found: list[list[dict]] = []
+        group: list[str] = []
+        size = 0
+        for k, text in enumerate(texts):
+            group.append(plain(text))
+            size += len(group[-1]) + 1
+            if size >= TOGETHER or k + 1 == len(texts):
+                found += self._group(group)
+                group, size = [], 0
+        return found
+
+    def _group(self, texts: list[str]) -> list[list[dict]]:
+        found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
         for k in self.short:
-            at = text.find(self.texts[k])
-            if at >= 0:
-                found[k] = (0, at, len(self.texts[k]))
-        doc = codes(text)
-        if len(doc) >= Q and len(self.gram):
-            for k, low in self.bands(doc):
-                if found.get(k, (1,))[0] == 0:
+            for i, text in enumerate(texts):
+                at = text.find(self.texts[k])
+                if at >= 0:
+                    found[i][k] = (0, at, len(self.texts[k]))
+        joined = codes("\0".join(texts))
+        start = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        if len(joined) >= Q and len(self.gram):
+            for i, k, low in self._bands(joined, start):
+                text, own = texts[i], int(self.edits[k])
+                if found[i].get(k, (1,))[0] == 0:
                     continue
-                own = int(self.edits[k])
                 width = 2 * (2 * own + 1)
+                low -= int(start[i])
                 at = text.find(self.texts[k], max(low, 0), max(low, 0) + width + len(self.texts[k]))
+                doc = joined[start[i] : start[i + 1] - 1]
                 hit = (0, at, len(self.texts[k])) if at >= 0 else align(self.codes[k], doc, low, width, own)
-                if hit and hit < found.get(k, (own + 1,)):
-                    found[k] = hit
-        return [{"item_id": self.ids[k], "edits": e, "start": s, "length": n} for k, (e, s, n) in sorted(found.items())]
+                if hit and hit < found[i].get(k, (own + 1,)):
+                    found[i][k] = hit
+        return [[{"item_id": self.ids[k], "edits": e, "start": s, "length": n} for k, (e, s, n) in sorted(f.items())] for f in found]
 
-    def bands(self, doc: np.ndarray) -> list[tuple[int, int]]:
-        """``(passage, lowest diagonal)`` of the bands with enough shared q-grams."""
-        grams = RollingHash(doc).grams(Q)
+    def _bands(self, joined: np.ndarray, start: np.ndarray) -> list[tuple[int, int, int]]:
+        """``(text, passage, lowest diagonal)`` of the bands with enough shared q-grams.
+
+        Diagonals are those of the joined texts, so bands of different texts never meet in one count.
+        """
+        grams = RollingHash(joined).grams(Q)
         at = np.flatnonzero(self.maybe[(grams >> np.uint64(42)).astype(np.int64)])
         if not len(at):
             return []
         near = np.minimum(np.searchsorted(self.gram, grams[at]), len(self.gram) - 1)
         same = self.gram[near] == grams[at]
         at, near = at[same], near[same]
-        out: set[tuple[int, int]] = set()
-        counts: dict[tuple[int, int], int] = {}
-        # Blocks of hits keep a text that repeats itself within memory.
+        if not len(at):
+            return []
+        # Slices of hits keep texts that repeat themselves within memory.
         sizes = self.stop[near] - self.start[near]
-        ends = np.cumsum(sizes)
-        first = 0
-        while first < len(at):
-            base = ends[first - 1] if first else 0
-            last = max(int(np.searchsorted(ends, base + 4_000_000, "right")), first + 1)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE)) + 1
+        slices = list(zip([0, *cuts], [*cuts, len(at)], strict=True))
+
+        def hits(first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             n = sizes[first:last]
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            entry = np.repeat(self.start[near[first:last]], n) + inside
-            item = self.item[entry]
-            step = 2 * self.edits[item] + 1
-            band = (np.repeat(at[first:last], n) - self.place[entry]) // step
-            for lower in (band, band - 1):
-                key, count = np.unique(item * (1 << 40) + lower + (1 << 38), return_counts=True)
-                for k, c in zip(key.tolist(), count.tolist(), strict=True):
-                    pair = (k >> 40, (k & ((1 << 40) - 1)) - (1 << 38))
-                    counts[pair] = counts.get(pair, 0) + c
-            first = last
-        for (item, lower), c in counts.items():
-            if c >= self.least[item]:
-                out.add((item, lower * int(2 * self.edits[item] + 1)))
-        return sorted(out)
+            entry = np.arange(n.sum()) + np.repeat(self.start[near[first:last]] - (np.cumsum(n) - n), n)
+            place = np.repeat(at[first:last], n)
+            return entry, place, (np.searchsorted(start, place, "right") - 1) * len(self.codes) + self.item[entry]
+
+        # A passage needs as many hits in the whole text as in one of its bands.
+        total = np.zeros((len(start) - 1) * len(self.codes), np.int64)
+        for first, last in slices:
+            total += np.bincount(hits(first, last)[2], minlength=len(total))
+        alive = total >= np.tile(self.least, len(start) - 1)
+        if not alive.any():
+            return []
+        keys = []
+        for first, last in slices:
+            entry, place, pair = hits(first, last)
+            kept = alive[pair]
+            item = self.item[entry[kept]]
+            band = (place[kept] - self.place[entry[kept]]) // (2 * self.edits[item] + 1)
+            # A q-gram of the passage counts once in a band, however often the text repeats it.
+            keys.append(_distinct(pair[kept], band, self.place[entry[kept]]))
+        pair, band, place = _distinct(*np.concatenate(keys, axis=1))
+        pair, band, _ = _sorted(np.concatenate([pair, pair]), np.concatenate([band, band - 1]), np.concatenate([place, place]))
+        new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (band[1:] != band[:-1])]))
+        # A place may lie on both halves of a band: this count is an upper bound of the distinct ones.
+        count = np.diff(np.append(new, len(pair)))
+        pair, band = pair[new], band[new]
+        text, item = pair // len(self.codes), pair % len(self.codes)
+        enough = count >= self.least[item]
+        low = band * (2 * self.edits[item] + 1)
+        return list(zip(text[enough].tolist(), item[enough].tolist(), low[enough].tolist(), strict=True))
+
+
+def _sorted(*columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.lexsort(columns[::-1])
+    return tuple(c[order] for c in columns)
+
+
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """Distinct rows of equally long columns."""
+    rows = np.stack(_sorted(*columns))
+    return rows[:, np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])] if rows.shape[1] else rows
 
 
 def align(passage: np.ndarray, doc: np.ndarray, low: int, width: int, most: int) -> tuple[int, int, int] | None:
     """Fewest edits of the passage against any part of ``doc`` on diagonals ``low .. low + width - 1``.
 
     Returns ``(edits, start, length)``, or None above ``most`` edits. Cell ``k`` of row ``i`` stands for the
-    passage's first ``i`` characters ending before position ``low + k + i``.
+    passage's first ``i`` characters ending before position ``low + k + i``. Starts are traced only
+    where the edits suffice.
     """
     far = len(passage) + width + 1
     k = np.arange(width)
@@ -131,24 +179,34 @@ def align(passage: np.ndarray, doc: np.ndarray, low: int, width: int, most: int)
     a, b = max(low, 0), min(low + len(padded), len(doc))
     if a < b:
         padded[a - low : b - low] = doc[a:b]
-    inside = (low + k >= 0) & (low + k <= len(doc))
-    cost = np.where(inside, 0, far)
-    origin = low + k
+    first = np.full(width + 1, far)  # a cell beyond the band
+    first[:width][(low + k >= 0) & (low + k <= len(doc))] = 0
+    end = low + k + len(passage)
+
+    cost = first.copy()
     for i, c in enumerate(passage):
-        straight = cost + (padded[i : i + width] != c)
-        up = np.append(cost[1:] + 1, far)  # passage character without partner
-        step = np.minimum(straight, up)
-        came = np.where(straight <= up, origin, np.append(origin[1:], 0))
-        gap = step - k
-        best = np.minimum.accumulate(gap)
-        source = np.maximum.accumulate(np.where(gap == best, k, 0))
-        cost, origin = best + k, came[source]
-        if cost.min() > most:
+        # One character against another, or a passage character without partner.
+        step = np.minimum(cost[:-1] + (padded[i : i + width] != c), cost[1:] + 1)
+        step -= k
+        np.minimum.accumulate(step, out=cost[:-1])  # text characters without partner
+        cost[:-1] += k
+        if i % 8 == 7 and cost.min() > most:
             return None
-    end = low + k + len(passage)
-    cost = np.where(end <= len(doc), cost, far)
+    cost = np.where(end <= len(doc), cost[:-1], far)
     j = int(cost.argmin())
-    return (int(cost[j]), int(origin[j]), int(end[j] - origin[j])) if cost[j] <= most else None
+    if cost[j] > most:
+        return None
+
+    edits, cost, origin = int(cost[j]), first.copy(), np.append(low + k, 0)
+    for i, c in enumerate(passage):
+        straight, up = cost[:-1] + (padded[i : i + width] != c), cost[1:] + 1
+        step = np.minimum(straight, up)
+        came = np.where(straight <= up, origin[:-1], origin[1:])
+        step -= k
+        best = np.minimum.accumulate(step)
+        origin[:-1] = came[np.maximum.accumulate(np.where(step == best, k, 0))]
+        cost[:-1] = best + k
+    return edits, int(origin[j]), int(end[j] - origin[j])
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_CHARS) -> list[Passages]:
@@ -165,7 +223,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, name: str) -> DataFrame
     columns = []
     for index in blocks(benchmark):
         part = free_name(docs, f"{name}_block{len(columns)}")
-        docs = append_column(docs, "text", part, FOUND, lambda c, index=index: pa.array([index.search(t) for t in c.to_pylist()], _ARROW))
+        docs = append_column(docs, "text", part, FOUND, lambda c, index=index: pa.array(index.search(c.to_pylist()), _ARROW))
         columns.append(part)
     found = F.concat(*(F.col(c) for c in columns)) if columns else F.array().cast(FOUND)
     return docs.withColumn(name, found).drop(*columns)
