@@ -16,18 +16,26 @@ from reportstar.functions.text import _col, capture, strip
 THOUSANDS = "\u202f"
 CURRENCY = "TND"
 
-MONEY = "decimal(18,2)"
+# Sums of amounts: three decimals of the dinar and three to spare, 22 digits before the point.
+MONEY = "decimal(28,6)"
+#: Amounts from here on are not taken: a DOUBLE no longer holds their cents.
+AMOUNT_BOUND = 1e15
 NUMBER_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 DECIMAL_PATTERN = r"^-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
 def to_number(c: Column | str) -> Column:
-    """Plain decimal or scientific notation to DOUBLE; blanks around it are allowed.
+    """Plain decimal or scientific notation to a finite DOUBLE; blanks around it are allowed.
 
     The pattern keeps out what only a JVM number parser takes (``1.5d``, ``Infinity``, ``NaN``).
     """
-    return capture(strip(c), NUMBER_PATTERN, 0).try_cast("double")
+    return _below(capture(strip(c), NUMBER_PATTERN, 0).try_cast("double"), float("inf"))
+
+
+def _below(value: Column, bound: float) -> Column:
+    """NULL for numbers of ``bound`` and more in size; NULLIF-like, so that the text is parsed once."""
+    return F.get(F.filter(F.array(value), lambda x: F.abs(x) < bound), F.lit(0))
 
 
 def parse_amount(c: Column | str, drop_thousands: bool = True) -> Column:
@@ -39,14 +47,16 @@ def parse_amount(c: Column | str, drop_thousands: bool = True) -> Column:
     if drop_thousands:
         s = F.replace(s, F.lit(THOUSANDS), F.lit(""))
     s = F.replace(s, F.lit(f" {CURRENCY}"), F.lit(""))
-    return to_number(F.replace(s, F.lit(","), F.lit(".")))
+    return _below(to_number(F.replace(s, F.lit(","), F.lit("."))), AMOUNT_BOUND)
 
 
 def parse_amount_lenient(c: Column | str, header: str) -> Column:
     """Keep only digits, dots and minus signs; a repeated header cell is NULL."""
     s = strip(c)
     body = F.when(F.lower(s) != header.lower(), F.replace(s, F.lit(","), F.lit(".")))
-    return capture(F.regexp_replace(body, r"[^0-9.\-]+", ""), DECIMAL_PATTERN, 0).try_cast("double")
+    return _below(
+        capture(F.regexp_replace(body, r"[^0-9.\-]+", ""), DECIMAL_PATTERN, 0).try_cast("double"), AMOUNT_BOUND
+    )
 
 
 def to_int(c: Column | str) -> Column:
@@ -63,7 +73,7 @@ def to_id(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Exact cents, so that sums do not depend on the order of the rows."""
+    """Exact to six decimals, so that sums do not depend on the order of the rows."""
     return _col(c).cast(MONEY)
 
 

@@ -14,19 +14,26 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Fixed value: how the names of the computers begin.
+COMPUTER_PREFIX = "GAMEFY"
 # Fixed values: (class, test, text) in the order in which they are tried.
 TERMINAL_RULES = (
     ("VIP", "contains", "VIP"),
     ("PlayStation", "startswith", "PS"),
-    ("Computer", "startswith", "GAMEFY"),
+    ("Computer", "startswith", COMPUTER_PREFIX),
 )
 OTHER_TERMINAL = "Other"
 # Fixed value: a comment that is nothing but a name in parentheses.
 TERMINAL_PATTERN = r"^\(([^\n]+)\)$"
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark takes it literally, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return F.col(quoted(c)) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:

@@ -9,7 +9,7 @@ from reportstar.functions.text import _col, capture, strip
 
 # The text formats of the reports.
 STAMP_PATTERN = (
-    r"^#([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})\s+([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
+    r"^#([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})\s+([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})\z"
 )
 DURATION_PATTERN = (
     r"(?U)(?:([0-9]+)[\s\x1c-\x1f]*h[\s\x1c-\x1f]*)?([0-9]+)[\s\x1c-\x1f]*min"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reportstar.functions.numbers import parse_amount, to_id, to_int
@@ -131,38 +131,60 @@ def clean_table(name: str, raw: DataFrame) -> DataFrame:
     return raw.select(*[made.get(c, F.col(c)).alias(c) for c in wanted], *extra)
 
 
-def rejects(name: str, raw: DataFrame) -> DataFrame:
-    """One row per bad cell: ``table, source_file, row_idx, column, raw_value``."""
-    rules = RULES[name]
-    if rules.numeric_id:
-        raw = drop_nonnumeric_ids(raw, rules.numeric_id)
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    cell.is_bad(),
-                    F.struct(F.lit(cell.source).alias("column"), F.col(cell.source).alias("raw_value")),
-                )
-                for cell in rules.cells
-            ]
-        )
-    )
-    position = {"source_file": "string", "row_idx": "int"}
+def _entry(source: str) -> Column:
+    return F.struct(F.lit(source).alias("column"), F.col(source).alias("raw_value"))
+
+
+def _bad_cells(rules: Rules) -> Column:
+    return F.array_compact(F.array(*[F.when(cell.is_bad(), _entry(cell.source)) for cell in rules.cells]))
+
+
+def _listed(name: str, raw: DataFrame, cells: Column) -> DataFrame:
+    position = {"source_file": "string", "row_idx": "bigint"}
     where = [
         (F.col(c) if c in raw.columns else F.lit(None).cast(kind)).alias(c)
         for c, kind in position.items()
     ]
-    return raw.select(F.lit(name).alias("table"), *where, F.explode(bad).alias("cell")).select(
+    return raw.select(F.lit(name).alias("table"), *where, F.explode(cells).alias("cell")).select(
         "table", "source_file", "row_idx", "cell.column", "cell.raw_value"
     )
 
 
+def rejects(name: str, raw: DataFrame) -> DataFrame:
+    """One row per bad cell: ``table, source_file, row_idx, column, raw_value``."""
+    rules = RULES[name]
+    if rules.numeric_id:
+        raw = drop_nonnumeric_ids(raw, rules.numeric_id)
+    return _listed(name, raw, _bad_cells(rules))
+
+
+def dropped_ids(name: str, raw: DataFrame) -> DataFrame:
+    """One row per row that cleaning drops for its id, in the form of ``rejects``; NULL ids too."""
+    column = RULES[name].numeric_id
+    if column is None:
+        raise ValueError(f"no row of {name} is dropped for its id")
+    return _listed(name, raw.filter(to_id(column).isNull()), F.array(_entry(column)))
+
+
+def count_bad_cells(name: str, raw: DataFrame, seen: Observation) -> DataFrame:
+    """``raw`` as it is; ``seen`` gets the number of bad cells as ``bad`` when an action has read it all."""
+    rules = RULES[name]
+    n = F.size(_bad_cells(rules))
+    if rules.numeric_id:
+        n = F.when(to_id(rules.numeric_id).isNotNull(), n)
+    return raw.observe(seen, F.coalesce(F.sum(n), F.lit(0)).alias("bad"))
+
+
+def bad_cell(name: str, raw: DataFrame) -> ValueError:
+    """The error for a table with a bad cell, with the first one found."""
+    cell = rejects(name, raw).take(1)[0]
+    return ValueError(f"Cannot parse {name}.{cell['column']}: {cell['raw_value']!r}")
+
+
 def clean_all(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
     """Clean every table; ``strict`` raises ``ValueError`` when any cell is bad."""
     if strict:
         for name, df in raw.items():
-            found = rejects(name, df).take(1)
-            if found:
-                cell = found[0]
-                raise ValueError(f"Cannot parse {name}.{cell['column']}: {cell['raw_value']!r}")
+            if rejects(name, df).take(1):
+                raise bad_cell(name, df)
     return {name: clean_table(name, df) for name, df in raw.items()}

@@ -9,23 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportstar.functions.numbers import money, money_sum
+from reportstar.functions.text import quoted
 from reportstar.functions.times import day
 from reportstar.operators.ordinals import exact_quantiles, moments, value_counts
+from reportstar.operators.rows import drop_incomplete_rows
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Groups with a NULL key do not count."""
-    return df.dropna(subset=list(keys))
+    return drop_incomplete_rows(df, keys)
+
+
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(quoted(c)) for c in names]
 
 
 def profile(df: DataFrame) -> DataFrame:
     """Name, type and non-null count of every column, in one pass."""
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count(c).alias(f"c{i}") for i, c in enumerate(_columns(df.columns))])
     rows = [
-        F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.col(name).alias("non_null"))
-        for name, kind in df.dtypes
+        F.struct(F.lit(name).alias("column"), F.lit(kind).alias("type"), F.col(f"c{i}").alias("non_null"))
+        for i, (name, kind) in enumerate(df.dtypes)
     ]
     return counts.select(F.inline(F.array(*rows)))
 
@@ -33,34 +39,39 @@ def profile(df: DataFrame) -> DataFrame:
 def summary(df: DataFrame) -> DataFrame:
     """Count, mean, std, min, quartiles and max of the numeric columns; quartiles are exact.
 
-    The data are read once; all figures come from the staged counts of distinct values.
+    The data are read once; all figures come from the staged counts of distinct values. A column
+    without values has count 0 and NULLs, also in a table without rows.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     counts = value_counts(df, numeric)
     quartiles = exact_quantiles(counts, QUARTILES).groupBy("column").agg(
         *[F.max(F.when(F.col("share") == q, F.col("value"))).alias(f"q{int(q * 100)}") for q in QUARTILES]
     )
-    return moments(counts).join(quartiles, "column").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    # One row per numeric column on every side of the joins.
+    names = F.array(*[F.lit(c) for c in numeric]) if numeric else F.array().cast("array<string>")
+    every = df.sparkSession.range(1).select(F.explode(names).alias("column"))
+    found = every.join(F.broadcast(moments(counts)), "column", "left").join(F.broadcast(quartiles), "column", "left")
+    return found.select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    return _known(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    return _known(df, keys).groupBy(*_columns(keys)).agg(F.count(F.lit(1)).alias(name))
 
 
 def total_by(df: DataFrame, keys: Sequence[str], amount: str, name: str = "total") -> DataFrame:
-    """Sum of an amount per key, exact to the cent."""
-    return _known(df, keys).groupBy(*keys).agg(F.coalesce(money_sum(amount), F.lit(0.0)).alias(name))
+    """Sum of an amount per key, exact to six decimals."""
+    return _known(df, keys).groupBy(*_columns(keys)).agg(F.coalesce(money_sum(amount), F.lit(0.0)).alias(name))
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str = "mean") -> DataFrame:
-    return _known(df, keys).groupBy(*keys).agg(F.avg(value).alias(name))
+    return _known(df, keys).groupBy(*_columns(keys)).agg(F.avg(quoted(value)).alias(name))
 
 
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Values and their counts, the most frequent first."""
-    return count_by(df, [column]).orderBy(F.desc("n"), column)
+    return count_by(df, [column]).orderBy(F.desc("n"), quoted(column))
 
 
 def daily_total(df: DataFrame, stamp: str, amount: str, name: str = "total") -> DataFrame:
@@ -69,12 +80,12 @@ def daily_total(df: DataFrame, stamp: str, amount: str, name: str = "total") ->
 
 def share_of_total(df: DataFrame, key: str, amount: str) -> DataFrame:
     """Total per key and its share of the whole in percent, one decimal."""
-    totals = _known(df, [key]).groupBy(key).agg(F.sum(money(amount)).alias("cents"))
-    whole = totals.agg(F.sum("cents")).scalar()
+    totals = _known(df, [key]).groupBy(quoted(key)).agg(F.sum(money(amount)).alias("__sum"))
+    whole = totals.agg(F.sum("__sum")).scalar()
     return totals.select(
-        key,
-        F.col("cents").cast("double").alias("total"),
-        F.round(F.col("cents").cast("double") / whole.cast("double") * 100, 1).alias("share_pct"),
+        quoted(key),
+        F.col("__sum").cast("double").alias("total"),
+        F.round(F.col("__sum").cast("double") / whole.cast("double") * 100, 1).alias("share_pct"),
     )
 
 
@@ -84,7 +95,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     Empty bins are listed. When all values are equal the width counts as one, as in
     ``[value - 0.5, value + 0.5]``.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    values = df.select(F.col(quoted(column)).cast("double").alias("v")).filter("v is not null")
     ends = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     low = ends.select(F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo"))).scalar()
@@ -104,19 +115,19 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def relation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Correlation and least-squares line of two measures."""
     return df.agg(
-        F.corr(x, y).alias("corr"),
-        F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-        F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
+        F.corr(quoted(x), quoted(y)).alias("corr"),
+        F.regr_slope(F.col(quoted(y)), F.col(quoted(x))).alias("slope"),
+        F.regr_intercept(F.col(quoted(y)), F.col(quoted(x))).alias("intercept"),
     )
 
 
 def preview(df: DataFrame, order: Sequence[str | Column], n: int = 5) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*[F.col(quoted(c)) if isinstance(c, str) else c for c in order]).limit(n)
 
 
 def top(df: DataFrame, measure: str, ties: str, n: int = 10) -> DataFrame:
     """The ``n`` rows with the largest measure; equal ones by name."""
-    return df.orderBy(F.desc(measure), ties).limit(n)
+    return df.orderBy(F.desc(quoted(measure)), quoted(ties)).limit(n)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -8,22 +8,25 @@ any particular forecasting library.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.functions.numbers import clamp_zero, money
+from reportstar.functions.numbers import clamp_zero
 from reportstar.operators.explore import top
 from reportstar.operators.lookup import attach
 from reportstar.operators.series import (
     average_prices,
-    consumption_series,
+    item_periods,
     revenue_series,
     step_days,
 )
 
 # Fixed value: two-sided 80 % quantile of the normal distribution.
 BAND = 1.2816
+# Values of a series while they are fitted: their squares are summed.
+FIT = "decimal(20,4)"
 TOP_ITEMS = 10
 
 
@@ -33,35 +36,65 @@ def _centred(products: str, a: str, b: str) -> Column:
     return (n * F.col(products) - F.col(a) * F.col(b)).cast("double") / F.col("n")
 
 
-def _fit(series: DataFrame, freq: str) -> DataFrame:
-    """One row per ``series``: trend, weekday effects and spread.
+def _calendar_sums(low: date, high: date, freq: str) -> list[tuple[int, int, date, int, int, int]]:
+    """``wd, n, last_ds, last_t, t, tt`` of the calendar per weekday: seven rows, the same for every series."""
+    step, rows = step_days(freq), {}
+    for k in range((high - low).days // step + 1):
+        ds = low + timedelta(days=k * step)
+        t = (ds - date(1970, 1, 1)).days // step
+        wd = ds.weekday() if step == 1 else 0
+        n, _, _, total, squares = rows.get(wd, (0, ds, t, 0, 0))
+        rows[wd] = (n + 1, ds, t, total + t, squares + t * t)
+    return [(wd, *row) for wd, row in sorted(rows.items())]
+
+
+def _weekday_sums(series: DataFrame, freq: str, span: tuple[date, date] | None) -> DataFrame:
+    """Exact sums of t, y and their products per ``series`` and weekday.
 
-    The series are reduced once, per weekday, to exact sums of t, y and their products.
-    Trend, weekday means and the residual sum of squares follow from those, so residuals
-    are never formed and the order of the rows does not matter.
+    With ``span``, ``series`` may leave out periods without a value: those add nothing to the sums with y, and
+    the sums of t are those of the calendar.
     """
-    daily = step_days(freq) == 1
     t = F.floor(F.unix_date("ds") / step_days(freq)).cast("decimal(10,0)")
-    weekdays = (
-        series.select(
-            "series",
-            "ds",
-            (F.weekday("ds") if daily else F.lit(0)).alias("wd"),
-            t.alias("t"),
-            money("y").alias("y"),
-        )
-        .groupBy("series", "wd")
-        .agg(
+    wd = F.weekday("ds") if step_days(freq) == 1 else F.lit(0)
+    parts = series.select("series", "ds", wd.alias("wd"), t.alias("t"), F.col("y").cast(FIT).alias("y"))
+    with_y = [
+        F.sum("y").alias("y"),
+        F.sum(F.col("t") * F.col("y")).alias("ty"),
+        F.sum(F.col("y") * F.col("y")).alias("yy"),
+    ]
+    if span is None:
+        return parts.groupBy("series", "wd").agg(
             F.count(F.lit(1)).alias("n"),
             F.max("ds").alias("last_ds"),
             F.max("t").alias("last_t"),
             F.sum("t").alias("t"),
-            F.sum("y").alias("y"),
             F.sum(F.col("t") * F.col("t")).alias("tt"),
-            F.sum(F.col("t") * F.col("y")).alias("ty"),
-            F.sum(F.col("y") * F.col("y")).alias("yy"),
+            *with_y,
         )
+    # The calendar joins as up to seven zero rows per series, so that every weekday is there.
+    days = _calendar_sums(*span, freq)
+    names = ("wd", "n", "last_ds", "last_t", "t", "tt")
+    kinds = ("int", "bigint", "date", "decimal(10,0)", "decimal(20,0)", "decimal(28,0)")
+    every = F.array(*[F.struct(*[F.lit(x).cast(k).alias(c) for x, k, c in zip(d, kinds, names)]) for d in days])
+    sums = parts.groupBy("series", "wd").agg(*with_y)
+    per_series = sums.groupBy("series").agg(
+        F.map_from_entries(F.collect_list(F.struct("wd", F.struct("y", "ty", "yy")))).alias("known")  # at most seven
+    )
+    rows = per_series.select("series", "known", F.inline(every))
+    found = F.try_element_at("known", F.col("wd"))
+    zero = {f.name: f.dataType for f in sums.schema.fields}
+    return rows.select(
+        "series", *names, *[F.coalesce(found[c], F.lit(0).cast(zero[c])).alias(c) for c in ("y", "ty", "yy")]
     )
+
+
+def _fit(series: DataFrame, freq: str, span: tuple[date, date] | None = None) -> DataFrame:
+    """One row per ``series``: trend, weekday effects and spread.
+
+    The series are reduced once, per weekday, to exact sums. Trend, weekday means and the residual
+    sum of squares follow from those, so residuals are never formed and the order of the rows does not matter.
+    """
+    weekdays = _weekday_sums(series, freq, span)
     means = F.struct(
         "wd",
         "n",
@@ -74,7 +107,7 @@ def _fit(series: DataFrame, freq: str) -> DataFrame:
         F.max("last_t").cast("double").alias("last_t"),
         F.sum("n").alias("n"),
         F.sum("t").cast("decimal(20,0)").alias("t"),
-        F.sum("y").cast("decimal(28,2)").alias("y"),
+        F.sum("y").cast("decimal(22,4)").alias("y"),
         F.sum("tt").cast("decimal(28,0)").alias("tt"),
         F.sum("ty").alias("ty"),
         F.sum("yy").alias("yy"),
@@ -122,16 +155,23 @@ def _fit(series: DataFrame, freq: str) -> DataFrame:
     )
 
 
-def forecast(series: DataFrame, keys: Sequence[str], horizon: int, freq: str = "D") -> DataFrame:
+def forecast(
+    series: DataFrame,
+    keys: Sequence[str],
+    horizon: int,
+    freq: str = "D",
+    span: tuple[date, date] | None = None,
+) -> DataFrame:
     """``*keys, ds, yhat, yhat_lower, yhat_upper`` for ``horizon`` periods after each series.
 
-    ``series`` holds ``*keys, ds, y`` with every period present. All values are at least 0.
+    ``series`` holds ``*keys, ds, y`` with every period present, or, with the ``span`` of the first and last
+    period of all series, only those with a value. All values are at least 0.
     """
     step = step_days(freq)
     # One column for all keys, whose names then cannot meet those of the model.
     owner = F.struct(*keys) if keys else F.lit(0)
     ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")
-    future = _fit(series.select(owner.alias("series"), "ds", "y"), freq).select("*", ahead).withColumn(
+    future = _fit(series.select(owner.alias("series"), "ds", "y"), freq, span).select("*", ahead).withColumn(
         "ds", F.date_add("last_ds", F.col("k") * step)
     )
     season = F.coalesce(F.try_element_at("effects", F.weekday("ds") if step == 1 else F.lit(0)), F.lit(0.0))
@@ -146,8 +186,10 @@ def forecast(series: DataFrame, keys: Sequence[str], horizon: int, freq: str = "
     )
 
 
-def forecast_consumption(series: DataFrame, horizon: int = 30, freq: str = "D") -> DataFrame:
-    return forecast(series, ["item_name"], horizon, freq).select(
+def forecast_consumption(
+    series: DataFrame, horizon: int = 30, freq: str = "D", span: tuple[date, date] | None = None
+) -> DataFrame:
+    return forecast(series, ["item_name"], horizon, freq, span).select(
         F.col("ds").alias("date"),
         "item_name",
         F.col("yhat").alias("predicted_qty"),
@@ -163,16 +205,21 @@ def derived_revenue(consumption: DataFrame, prices: DataFrame) -> DataFrame:
     return priced.groupBy("date").agg(F.sum(value).alias("derived_revenue_tnd"))
 
 
-def forecast_revenue(
-    series: DataFrame, derived: DataFrame, horizon: int = 30, freq: str = "D"
-) -> DataFrame:
-    direct = forecast(series, [], horizon, freq).select(
+def forecast_direct(series: DataFrame, horizon: int = 30, freq: str = "D") -> DataFrame:
+    return forecast(series, [], horizon, freq).select(
         F.col("ds").alias("date"),
         F.col("yhat").alias("direct_revenue_tnd"),
         F.col("yhat_lower").alias("direct_lower_tnd"),
         F.col("yhat_upper").alias("direct_upper_tnd"),
     )
-    return attach(direct, derived, "date", "date").withColumn(
+
+
+def forecast_revenue(
+    series: DataFrame, derived: DataFrame, horizon: int = 30, freq: str = "D"
+) -> DataFrame:
+    """Direct and derived revenue per date; ``derived`` has a row per date of the horizon at most."""
+    direct = forecast_direct(series, horizon, freq)
+    return attach(direct, derived, "date", "date", rows_at_most=horizon).withColumn(
         "derived_revenue_tnd", F.coalesce("derived_revenue_tnd", F.lit(0.0))
     )
 
@@ -180,12 +227,18 @@ def forecast_revenue(
 def forecast_tables(
     cash: DataFrame, stock: DataFrame, items: DataFrame, horizon: int = 30, freq: str = "D"
 ) -> dict[str, DataFrame]:
-    """``consumption``, ``revenue`` and the ``skipped`` items from three star tables."""
-    per_item, skipped = consumption_series(stock, items, freq)
-    consumption = forecast_consumption(per_item, horizon, freq)
+    """``consumption``, ``revenue``, ``direct`` revenue alone and the ``skipped`` items from three star tables."""
+    per_item, skipped, low, high = item_periods(stock, items, freq)
+    span = (low, high) if low else None
+    consumption = forecast_consumption(per_item, horizon, freq, span)
     derived = derived_revenue(consumption, average_prices(stock, items))
-    revenue = forecast_revenue(revenue_series(cash, freq), derived, horizon, freq)
-    return {"consumption": consumption, "revenue": revenue, "skipped": skipped}
+    income = revenue_series(cash, freq)
+    return {
+        "consumption": consumption,
+        "revenue": forecast_revenue(income, derived, horizon, freq),
+        "direct": forecast_direct(income, horizon, freq),
+        "skipped": skipped,
+    }
 
 
 def forecast_summary(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -193,7 +246,7 @@ def forecast_summary(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     per_item = tables["consumption"].groupBy("item_name").agg(
         F.sum("predicted_qty").alias("predicted_total_qty")
     )
-    totals = tables["revenue"].agg(
+    totals = tables["direct"].agg(
         *[F.sum(f"{c}_tnd").alias(f"{c}_tnd") for c in ("direct_revenue", "direct_lower", "direct_upper")]
     )
     return {

@@ -12,11 +12,11 @@ from reportstar.staging import stage
 # A lookup is broadcast only when it was measured to stay within both bounds.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds more than this share of the rows: there are at most 100.
-HOT_SHARE = 0.01
+# Rows with a NULL key are spread over so many values that meet nothing.
+SALTS = 1024
 
 _KEY = "__lookup_key"
-_HOT = "__hot"
+_SALT = "__lookup_salt"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
@@ -37,36 +37,30 @@ def attach(
     null_safe: bool = False,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    rows_at_most: int | None = None,
 ) -> DataFrame:
     """Add the other columns of ``lookup``; never multiplies or drops rows of ``left``.
 
-    A measured small lookup is broadcast. Beyond the bounds the rows of hot and NULL keys,
-    which would pile up in one task, meet their few lookup rows by broadcast, and only the
-    remaining rows, of keys that each hold at most ``HOT_SHARE``, are shuffled.
+    The lookup is stored once and measured there, unless the caller proves a bound with ``rows_at_most``. A
+    small one is broadcast. A larger one is joined in one pass over ``left``: rows with a NULL key, which
+    meet nothing, are spread by a salt, and since both sides are plain exchanges adaptive execution splits
+    the partitions of frequent keys.
     """
     keyed = lookup.withColumnRenamed(lookup_key, _KEY)
     left_col = F.col(left_key)
     same = left_col.eqNullSafe(F.col(_KEY)) if null_safe else left_col == F.col(_KEY)
-    if fits_broadcast(lookup, max_rows, max_bytes):
+    if rows_at_most is not None and rows_at_most <= max_rows:
         return left.join(F.broadcast(keyed), same, "left").drop(_KEY)
-
-    hot = _hot_keys(left, left_key)
-    few = keyed.join(F.broadcast(hot), F.col(_KEY).eqNullSafe(F.col(_HOT)), "left_semi")
-    is_hot = left_col.eqNullSafe(F.col(_HOT))
-    hot_rows = left.join(F.broadcast(hot), is_hot, "left_semi")
-    cold_rows = left.join(F.broadcast(hot), is_hot, "left_anti")
-    return (
-        hot_rows.join(F.broadcast(few), same, "left")
-        .unionByName(cold_rows.join(keyed, same, "left"))
-        .drop(_KEY)
-    )
-
-
-def _hot_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys above ``HOT_SHARE`` and always the NULL key: at most 101 rows."""
-    counts = stage(df.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("n")), "key_counts")
-    floor = (counts.agg(F.sum("n")).first()[0] or 0) * HOT_SHARE
-    return counts.filter((F.col("n") > floor) | F.col(_HOT).isNull()).select(_HOT)
+    keyed = stage(keyed, "lookup")
+    if fits_broadcast(keyed, max_rows, max_bytes):
+        return left.join(F.broadcast(keyed), same, "left").drop(_KEY)
+    if null_safe:
+        return left.join(keyed, same, "left").drop(_KEY)
+    salt = F.when(left_col.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).otherwise(F.lit(0))
+    salted = left.withColumn(_SALT, salt)
+    meets = same & (F.col(_SALT) == F.col(f"{_SALT}_right"))
+    spread = keyed.withColumn(f"{_SALT}_right", F.lit(0).cast("bigint"))
+    return salted.join(spread, meets, "left").drop(_KEY, _SALT, f"{_SALT}_right")
 
 
 def resolve_fk(

@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reportstar.functions.text import quoted
 from reportstar.staging import stage
 
 _POS = "__pos"
@@ -50,9 +51,12 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     The values of a column are sorted into ranges, so that ranks can be found range by range.
     """
+    if not columns:
+        empty = df.sparkSession.createDataFrame([], "column string, v double, n bigint")
+        return _ranged(empty, [F.col("column"), F.col("v")], "value_counts").drop(_POS)
     pairs = F.inline(
         F.array(
-            *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]
+            *[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("v")) for c in columns]
         )
     )
     counts = (

@@ -9,33 +9,42 @@ from pyspark.sql import functions as F
 
 Tables = dict[str, DataFrame]
 
-RELATIONSHIP_SCHEMA = (
-    "fromTable string, fromColumn string, toTable string, toColumn string, "
-    "cardinality string, active boolean"
-)
+def _columns(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Catalogue of the bundle: ``table, rank, column, position``, a row per column."""
+    listed = [(name, rank, c, at) for rank, (name, df) in enumerate(tables.items()) for at, c in enumerate(df.columns)]
+    return spark.createDataFrame(listed, "table string, rank int, column string, position int")
 
 
-def relationships(tables: Tables) -> list[dict]:
-    """Every ``*_id`` column of a fact that is the first column of a dimension."""
-    keys = {df.columns[0]: name for name, df in tables.items() if name.startswith("dim_")}
-    return [
-        {
-            "fromTable": name,
-            "fromColumn": column,
-            "toTable": keys[column],
-            "toColumn": column,
-            "cardinality": "manyToOne",
-            "active": True,
-        }
-        for name, df in tables.items()
-        if name.startswith("fact_")
-        for column in df.columns
-        if column.endswith("_id") and column in keys
-    ]
+def relationships_table(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Foreign keys found by joining the facts' columns with the primary keys of the dimensions.
+
+    The key of a dimension leads its columns. Where two dimensions lead with one name, the later is meant.
+    """
+    listed = _columns(spark, tables)
+    keys = (
+        listed.filter(F.col("table").startswith("dim_") & (F.col("position") == 0) & F.col("column").endswith("_id"))
+        .groupBy("column")
+        .agg(F.max_by("table", "rank").alias("toTable"))
+    )
+    uses = listed.filter(F.col("table").startswith("fact_"))
+    return (
+        uses.join(keys, "column")
+        .orderBy("rank", "position")
+        .select(
+            F.col("table").alias("fromTable"),
+            F.col("column").alias("fromColumn"),
+            "toTable",
+            F.col("column").alias("toColumn"),
+            F.lit("manyToOne").alias("cardinality"),
+            F.lit(True).alias("active"),
+        )
+    )
 
 
-def relationships_table(spark: SparkSession, tables: Tables) -> DataFrame:
-    return spark.createDataFrame(relationships(tables), RELATIONSHIP_SCHEMA)
+def relationships(tables: Tables) -> list[dict]:
+    """The rows of ``relationships_table``: one per foreign key column of the schema."""
+    spark = next(iter(tables.values())).sparkSession
+    return [r.asDict() for r in relationships_table(spark, tables).collect()]
 
 
 def _reference_counts(tables: Tables) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,14 +78,14 @@ def label_items(per_item: DataFrame, items: DataFrame) -> DataFrame:
     return attach(per_item, names, "item_id", "item_id").drop("item_id")
 
 
-def consumption_series(
+def item_periods(
     stock: DataFrame, items: DataFrame, freq: str = "D", min_periods: int = MIN_PERIODS
-) -> tuple[DataFrame, DataFrame]:
-    """Outgoing quantity per item and period, and the items with too few periods.
+) -> tuple[DataFrame, DataFrame, date | None, date | None]:
+    """Outgoing quantity of the items with enough periods, the other items, first and last period.
 
-    Returns ``(item_name, ds, y)`` and ``(item_name, nonzero)``. The calendar runs over the
-    days of all items together. Movements are summed per id and day before names are looked
-    up, and only items that are kept are filled up with zeros.
+    Returns ``(item_name, ds, y)`` with the periods that have movements, ``(item_name, nonzero)``, and the
+    calendar, which runs over the days of all items together. Movements are summed per id and
+    day before names are looked up.
     """
     sold = (
         stock.filter(F.col("in_out") == "Out")
@@ -101,6 +103,14 @@ def consumption_series(
     low, high = totals.agg(F.min("ds"), F.max("ds")).first()
     kept = totals.filter(F.col("nonzero") >= min_periods)
     skipped = totals.filter(F.col("nonzero") < min_periods).select("item_name", "nonzero").distinct()
+    return kept.select("item_name", "ds", "y"), skipped, low, high
+
+
+def consumption_series(
+    stock: DataFrame, items: DataFrame, freq: str = "D", min_periods: int = MIN_PERIODS
+) -> tuple[DataFrame, DataFrame]:
+    """``item_periods`` with every period of the calendar present: ``(item_name, ds, y)``, and the skipped items."""
+    kept, skipped, low, high = item_periods(stock, items, freq, min_periods)
     owners = kept.select("item_name").distinct()
     filled = fill_gaps(kept, owners, low, high, freq, ["item_name"]) if low else kept
     return filled.select("item_name", "ds", F.col("y").cast("double").alias("y")), skipped
@@ -111,11 +121,11 @@ def average_prices(stock: DataFrame, items: DataFrame) -> DataFrame:
     per_id = (
         stock.filter(F.col("unit_price_tnd") > 0)
         .groupBy("item_id")
-        .agg(F.sum(money("unit_price_tnd")).alias("cents"), F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(money("unit_price_tnd")).alias("prices"), F.count(F.lit(1)).alias("n"))
     )
     return (
         label_items(per_id, items)
         .filter(F.col("item_name").isNotNull())
         .groupBy("item_name")
-        .agg((F.sum("cents").cast("double") / F.sum("n")).alias("avg_price"))
+        .agg((F.sum("prices").cast("double") / F.sum("n")).alias("avg_price"))
     )

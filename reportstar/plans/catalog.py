@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +26,15 @@ from reportstar.functions.times import (
 )
 from reportstar.operators import columns, explore, quality, rows, series, star
 from reportstar.operators import forecast as fc
-from reportstar.operators.clean import clean_table, rejects
+from reportstar.operators.clean import clean_table, dropped_ids, rejects
 from reportstar.operators.lookup import attach, resolve_fk
 from reportstar.operators.ordinals import with_ordinal
 from reportstar.operators.strip import account, strip_artifacts
 from reportstar.plans import raw_views as v
+from reportstar.plans.runs import run_etl, run_forecast
 from reportstar.sources.grid import scan_text_grid, scan_with_header
 from reportstar.sources.layouts import LAYOUTS
-from reportstar.sources.star import read_star, write_all
+from reportstar.sources.star import read_star, write_all, write_relationships
 from reportstar.staging import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,15 +97,7 @@ def q_grid_accounting(spark, sf_dir):
 @query
 def q_scan_text_grid(spark, sf_dir):
     path = new_path(spark, "printed")
-    # A file holds one report of bounded length, so it may be sorted within its task.
-    (
-        v.raw_grid(spark, sf_dir)
-        .repartition("source_file")
-        .sortWithinPartitions("source_file", "row_idx")
-        .select("source_file", F.array_join("cells", v.CELL_SEP))
-        .write.partitionBy("source_file")
-        .text(path)
-    )
+    v.write_text_grid(v.raw_grid(spark, sf_dir, v.ORDERS_PER_TEXT_FILE), path)
     grid = scan_text_grid(spark, path, "cash").withColumn(
         "source_file", F.regexp_extract("source_file", "source_file=(cash_[0-9]+)", 1)
     )
@@ -142,7 +134,8 @@ def q_profile(spark, sf_dir):
 
 @query
 def q_summary(spark, sf_dir):
-    s = explore.summary(_one(spark, sf_dir, "stock"))
+    stock = _one(spark, sf_dir, "stock").withColumn("empty", F.lit(None).cast("double"))
+    s = explore.summary(stock)
     return s.select(
         "column", F.col("count").alias("n"), *[F.round(c, 4).alias(c) for c in s.columns[2:]]
     )
@@ -435,9 +428,10 @@ def q_dim_ordinals_bucketed(spark, sf_dir):
 
 def _star_part(spark, sf_dir, fact: str) -> dict[str, DataFrame]:
     """One fact with the dimensions it refers to."""
-    cleaned = _cleaned(spark, sf_dir)
     if fact == "fact_member_stats":
+        cleaned = _cleaned(spark, sf_dir, "members")
         return {"dim_member": star.dim_member(cleaned), fact: star.fact_member_stats(cleaned)}
+    cleaned = _cleaned(spark, sf_dir, "cash", "sessions", "stock")
     dims = {"dim_cashier": star.dim_cashier(cleaned), "dim_terminal": star.dim_terminal(cleaned)}
     if fact == "fact_stock_movements":
         dims["dim_item"] = star.dim_item(cleaned)
@@ -459,6 +453,14 @@ def q_fact_stock(spark, sf_dir):
     return _star_part(spark, sf_dir, "fact_stock_movements")["fact_stock_movements"]
 
 
+@query
+def q_fact_stock_large(spark, sf_dir):
+    """All three lookups joined by a shuffle, as beyond the broadcast bounds."""
+    cleaned = _cleaned(spark, sf_dir, "cash", "sessions", "stock")
+    dims = {"dim_cashier": star.dim_cashier(cleaned), "dim_terminal": star.dim_terminal(cleaned), "dim_item": star.dim_item(cleaned)}
+    return star.fact_stock_movements(cleaned, dims, max_rows=0)
+
+
 @query
 def q_fact_members(spark, sf_dir):
     return _star_part(spark, sf_dir, "fact_member_stats")["fact_member_stats"]
@@ -559,9 +561,98 @@ def q_roundtrip_parquet(spark, sf_dir):
     return read_star(spark, path, names, "parquet")["fact_cash_transactions"]
 
 
+def _hard(key: str, name: str) -> Column:
+    """Names with outer blanks, quotes, separators, backslashes and line breaks; empty and missing ones."""
+    k, n = F.col(key) % 8, F.col(name)
+    cases = [F.concat(F.lit("  "), n, F.lit(" ")), F.concat(F.lit('"'), n, F.lit('" \\"')), F.concat(n, F.lit("\nsecond, line\r\n")), F.concat(F.lit("\\"), n, F.lit("\\")), F.lit(""), F.lit(None).cast("string"), F.concat(F.lit(","), n), n]
+    return _pick(k, *cases)
+
+
+@query
+def q_roundtrip_names(spark, sf_dir):
+    """Item and member names that delimited files tend to change, written and read back."""
+    part = v.table(spark, sf_dir, "part")
+    customer = v.table(spark, sf_dir, "customer")
+    tables = {
+        "dim_item": part.select(F.col("p_partkey").alias("item_id"), _hard("p_partkey", "p_name").alias("item_name"), F.col("p_type").alias("category")),
+        "dim_member": customer.select(F.col("c_custkey").alias("member_id"), _hard("c_custkey", "c_name").alias("username"), F.col("c_mktsegment").alias("firstname"), F.lit(" x ").alias("lastname")),
+    }
+    path = new_path(spark, "star")
+    write_all(tables, path, "csv")
+    back = read_star(spark, path, list(tables), "csv")
+    items = back["dim_item"].select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), F.col("item_name").alias("name"), F.col("category").alias("other"))
+    members = back["dim_member"].select(F.lit("member").alias("kind"), F.col("member_id").alias("id"), F.col("username").alias("name"), F.col("lastname").alias("other"))
+    return items.unionByName(members)
+
+
+def _printed_reports(spark, sf_dir, fmt: str) -> str:
+    path = new_path(spark, "reports")
+    for name, raw in v.raw_tables(spark, sf_dir).items():
+        grid = v.printed(raw, name)
+        if fmt == "text":
+            v.write_text_grid(grid, f"{path}/{name}")
+        else:
+            grid.write.parquet(f"{path}/{name}")
+    return path
+
+
+@query
+def q_run_etl(spark, sf_dir):
+    """The whole run from staged grids to a written star: rows per table and totals of a fact read back."""
+    out = new_path(spark, "star")
+    counts = run_etl(spark, _printed_reports(spark, sf_dir, "parquet"), out, "csv", "parquet")
+    fact = read_star(spark, out, ["fact_stock_movements"], "csv")["fact_stock_movements"]
+    sums = fact.agg(F.sum("item_id").alias("item_id"), F.sum("quantity").alias("quantity"), F.count("terminal_id").alias("terminal_id"))
+    sums = sums.select(F.inline(F.array(*[F.struct(F.lit(f"sum {c}").alias("table"), F.col(c).alias("rows")) for c in sums.columns])))
+    return counts.unionByName(sums)
+
+
+@query
+def q_run_etl_text(spark, sf_dir):
+    """The whole run from printed text files."""
+    return run_etl(spark, _printed_reports(spark, sf_dir, "text"), new_path(spark, "star"), "parquet", "text")
+
+
+@query
+def q_relationships_json(spark, sf_dir):
+    """The relationships as another program reads them from the written file, with their measured use."""
+    tables = _star_part(spark, sf_dir, "fact_sessions")
+    path = new_path(spark, "relationships") + ".json"
+    write_relationships(spark, tables, path)
+    found = spark.read.option("multiLine", "true").json(path).select(F.inline("relationships"))
+    return found.join(quality.integrity(tables), ["fromTable", "fromColumn", "toTable"], "left")
+
+
 # ---- exploration -------------------------------------------------------------------
 
 
+@query
+def q_money_precision(spark, sf_dir):
+    """Totals of amounts with three decimals."""
+    value = F.expr("cast(round(l_extendedprice * 100) as bigint)")
+    text = F.concat(F.floor(value / 1000), F.lit(","), F.lpad((value % 1000).cast("string"), 3, "0"), F.lit(" TND"))
+    lines = v.table(spark, sf_dir, "lineitem").select("l_returnflag", parse_amount(text).alias("amount_tnd"))
+    return explore.total_by(lines, ["l_returnflag"], "amount_tnd")
+
+
+@query
+def q_member_report(spark, sf_dir):
+    """A member report whose headers hold a dot and repeat, from the grid to totals per class."""
+    named = columns.drop_matching_columns(columns.strip_column_names(scan_with_header(v.member_grid(spark, sf_dir))), "^Unnamed")
+    named = rows.drop_incomplete_rows(rows.drop_header_rows(rows.drop_empty_rows(named), "Usage.1", "Usage"), ["Ord.& Trans."])
+    parsed = named.select("Class", *[parse_amount(c).alias(c) for c in ("Ord.& Trans.", "Usage.1")])
+    traded = explore.total_by(parsed, ["Class"], "Ord.& Trans.", "traded")
+    return traded.join(explore.total_by(parsed, ["Class"], "Usage.1", "usage"), "Class")
+
+
+@query
+def q_member_account(spark, sf_dir):
+    """Rows of the member report: read, kept, and dropped for their id."""
+    raw = v.raw_members(spark, sf_dir)
+    parts = {"rows_in": raw, "kept": clean_table("members", raw), "dropped": dropped_ids("members", raw)}
+    return explore.table_counts(parts).withColumnRenamed("table", "part")
+
+
 @query
 def q_member_activity(spark, sf_dir):
     counted = explore.count_by(_one(spark, sf_dir, "members"), ["firstname", "lastname"])
@@ -582,11 +673,8 @@ def q_top_members(spark, sf_dir):
 @query
 def q_frequency(spark, sf_dir):
     sessions = _one(spark, sf_dir, "sessions")
-    parts = [
-        explore.frequency(sessions, c).select(F.lit(c).alias("field"), F.col(c).alias("value"), "n")
-        for c in ("cashier", "session_type")
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    pairs = [F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in ("cashier", "session_type")]
+    return explore.count_by(sessions.select(F.inline(F.array(*pairs))), ["field", "value"])
 
 
 @query
@@ -724,8 +812,8 @@ def q_forecast_revenue(spark, sf_dir):
 
 @query
 def q_forecast_consumption(spark, sf_dir):
-    per_item = series.consumption_series(*_stock_and_items(spark, sf_dir))[0]
-    return _rounded(fc.forecast_consumption(per_item, 30, "D"))
+    per_item, _, low, high = series.item_periods(*_stock_and_items(spark, sf_dir))
+    return _rounded(fc.forecast_consumption(per_item, 30, "D", (low, high)))
 
 
 @query
@@ -750,4 +838,22 @@ def q_forecast_summary(spark, sf_dir):
         )
     )
     best = summary["top_items"].toDF("entry", "value")
-    return _rounded(totals.unionByName(best), 3)
+    skipped = summary["skipped"].select("item_name", F.col("nonzero").cast("double")).toDF("entry", "value")
+    return _rounded(totals.unionByName(best).unionByName(skipped), 3)
+
+
+@query
+def q_run_forecast(spark, sf_dir):
+    """The whole forecast run from a written star; its revenue table read back."""
+    cleaned = _cleaned(spark, sf_dir, "cash", "sessions", "stock")
+    dims = {"dim_cashier": star.dim_cashier(cleaned), "dim_terminal": star.dim_terminal(cleaned), "dim_item": star.dim_item(cleaned)}
+    tables = {
+        "dim_item": dims["dim_item"],
+        "fact_cash_transactions": star.fact_cash_transactions(cleaned, dims),
+        "fact_stock_movements": star.fact_stock_movements(cleaned, dims),
+    }
+    path = new_path(spark, "star")
+    write_all(tables, path, "parquet")
+    written = run_forecast(spark, path, f"{path}/forecasts", 30, "D", "parquet")
+    per_day = written["consumption"].groupBy("date").agg(F.count("*").alias("items"))
+    return _rounded(written["revenue"], 3).join(per_day, "date", "left")

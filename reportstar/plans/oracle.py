@@ -115,17 +115,24 @@ def _with(*parts: str) -> str:
 
 
 # Rows of the printed grid, by order key.
-GRID_ROW = "5 + (o_orderkey % 1000) // 40 * 44 + (o_orderkey % 1000) % 40"
-GRID = f"""grid AS (
+GRID_ROW = "5 + (o_orderkey % {n}) // 40 * 44 + (o_orderkey % {n}) % 40"
+
+
+def _grid(n: int) -> str:
+    """Printed reports of ``n`` orders each."""
+    return f"""grid AS (
   SELECT o_orderkey, ' cashier_' || (o_custkey % 7) AS cashier,
     strftime(o_orderdate, '%d.%m.%Y %H:%M:%S') AS date,
     CASE WHEN o_orderstatus = 'F' THEN 'Expense' ELSE 'Income' END AS income_expense,
     CASE WHEN o_orderkey % 2 = 0 THEN 'Cash' ELSE 'Card' END AS payment_method,
     o_orderpriority AS transaction_type, {_money('c')} AS amount,
     CASE o_orderkey % 3 WHEN 0 THEN '(' || {_terminal('k')} || ')' WHEN 1 THEN 'Money deposited to member' ELSE '' END AS comment,
-    'cash_' || (o_orderkey // 1000) AS source_file, CAST({GRID_ROW} AS INTEGER) AS row_idx
+    'cash_' || (o_orderkey // {n}) AS source_file, {GRID_ROW.format(n=n)} AS row_idx
   FROM (SELECT *, {_cents('o_totalprice')} AS c, (o_orderkey // 3) % 12 AS k FROM orders))"""
 
+
+GRID = _grid(1000)
+
 REVENUE = """daily_income AS (
   SELECT CAST(date AS DATE) AS ds, sum(CAST(amount_tnd AS DECIMAL(18,2))) AS y FROM cash
   WHERE income_expense = 'Income' GROUP BY 1),
@@ -261,6 +268,21 @@ def _key_report() -> str:
 _CASH_OUT = "date, cashier, income_expense, payment_method, transaction_type, comment, amount_tnd, terminal"
 _PRICE = _cents("l_extendedprice")
 
+def _counts() -> str:
+    sources = {
+        "dim_cashier": "dim_cashier", "dim_terminal": "dim_terminal", "dim_item": "dim_item",
+        "dim_member": "dim_member", "fact_cash_transactions": "cash", "fact_sessions": "sessions",
+        "fact_stock_movements": "stock", "fact_member_stats": "members",
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {source}" for name, source in sources.items())
+
+
+def _hard(key: str, name: str) -> str:
+    return f"""CASE {key} % 8 WHEN 0 THEN '  ' || {name} || ' ' WHEN 1 THEN '"' || {name} || '" \\"'
+        WHEN 2 THEN {name} || chr(10) || 'second, line' || chr(13) || chr(10) WHEN 3 THEN '\\' || {name} || '\\'
+        WHEN 4 THEN '' WHEN 6 THEN ',' || {name} WHEN 7 THEN {name} END"""
+
+
 ORACLE: dict[str, str] = {
     # grids
     "q_grid_strip": _with(GRID, "SELECT * EXCLUDE (o_orderkey) FROM grid"),
@@ -273,7 +295,7 @@ ORACLE: dict[str, str] = {
         2 * count(*) FILTER (k % 40 = 39) + 2 * count(*) FILTER (k = 999) AS keyless,
         count(*) AS kept, CAST(60 AS INTEGER) AS width
       FROM (SELECT *, o_orderkey % 1000 AS k FROM orders) GROUP BY o_orderkey // 1000""",
-    "q_scan_text_grid": _with(GRID, "SELECT source_file, row_idx, date, amount, comment FROM grid"),
+    "q_scan_text_grid": _with(_grid(250_000), "SELECT source_file, row_idx, date, amount, comment FROM grid"),
     "q_header_scan": _with(
         GRID, 'SELECT trim(cashier) AS "Cashier", date AS "Date", amount AS "Amount" FROM grid'
     ),
@@ -288,7 +310,8 @@ ORACLE: dict[str, str] = {
             for c, t in _CASH_TYPES.items()
         ),
     ),
-    "q_summary": _with(STOCK, _describe(["quantity", "unit_price_tnd", "total_amount_tnd"], "stock")),
+    "q_summary": _with(STOCK, _describe(["quantity", "unit_price_tnd", "total_amount_tnd"], "stock")
+                       + " UNION ALL SELECT 'empty', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL"),
     # scalar functions
     "q_parse_amount": f"""
       SELECT l_orderkey, l_linenumber, {_PRICE} / 100.0 AS amount, -{_PRICE} / 100.0 AS negative FROM lineitem""",
@@ -395,17 +418,7 @@ ORACLE: dict[str, str] = {
     "q_orphans": """
       SELECT o_custkey, count(*) AS n FROM orders
       WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 9) GROUP BY 1""",
-    "q_table_counts": _with(
-        *ALL_CLEAN, *ALL_DIMS,
-        " UNION ALL ".join(
-            f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {source}"
-            for name, source in {
-                "dim_cashier": "dim_cashier", "dim_terminal": "dim_terminal", "dim_item": "dim_item",
-                "dim_member": "dim_member", "fact_cash_transactions": "cash", "fact_sessions": "sessions",
-                "fact_stock_movements": "stock", "fact_member_stats": "members",
-            }.items()
-        ),
-    ),
+    "q_table_counts": _with(*ALL_CLEAN, *ALL_DIMS, _counts()),
     # exploration
     "q_member_activity": _with(
         MEMBERS, "SELECT firstname, lastname, count(*) AS n FROM members GROUP BY 1, 2"
@@ -502,9 +515,37 @@ ORACLE: dict[str, str] = {
         """SELECT entry, round(value, 3) AS value FROM best
         UNION ALL SELECT 'direct_revenue_tnd', round(sum(yhat), 3) FROM revenue_fc
         UNION ALL SELECT 'direct_lower_tnd', round(sum(low), 3) FROM revenue_fc
-        UNION ALL SELECT 'direct_upper_tnd', round(sum(high), 3) FROM revenue_fc""",
+        UNION ALL SELECT 'direct_upper_tnd', round(sum(high), 3) FROM revenue_fc
+        UNION ALL SELECT item_name, nonzero::DOUBLE FROM periods WHERE nonzero < 14""",
     ),
+    "q_money_precision": f"""
+      SELECT l_returnflag, sum({_cents('l_extendedprice')})::BIGINT / 1000.0::DOUBLE AS total FROM lineitem GROUP BY 1""",
+    "q_member_report": f"""
+      SELECT c_mktsegment AS "Class", sum(abs(c) % 300)::BIGINT / 100.0::DOUBLE AS traded, sum(2 * c)::BIGINT / 100.0::DOUBLE AS usage
+      FROM (SELECT *, {_cents('c_acctbal')} AS c FROM customer) GROUP BY 1""",
+    "q_member_account": """
+      SELECT 'rows_in' AS part, count(*) AS rows FROM customer
+      UNION ALL SELECT 'kept', count(*) FROM customer WHERE c_custkey % 10 <> 9
+      UNION ALL SELECT 'dropped', count(*) FROM customer WHERE c_custkey % 10 = 9""",
+    "q_roundtrip_names": f"""
+      SELECT 'item' AS kind, p_partkey AS id, {_hard('p_partkey', 'p_name')} AS name, p_type AS other FROM part
+      UNION ALL SELECT 'member', c_custkey, {_hard('c_custkey', 'c_name')}, ' x ' FROM customer""",
+    "q_run_etl": _with(
+        *ALL_CLEAN, *ALL_DIMS, FACT_STOCK,
+        _counts() + " UNION ALL SELECT 'sum item_id', sum(item_id)::BIGINT FROM fact_stock"
+        " UNION ALL SELECT 'sum quantity', sum(quantity)::BIGINT FROM fact_stock"
+        " UNION ALL SELECT 'sum terminal_id', count(terminal_id) FROM fact_stock",
+    ),
+    "q_run_etl_text": _with(*ALL_CLEAN, *ALL_DIMS, _counts()),
 }
 # What is written and read back is the table itself.
 ORACLE["q_roundtrip_csv"] = ORACLE["q_fact_sessions"]
 ORACLE["q_roundtrip_parquet"] = ORACLE["q_fact_cash"]
+ORACLE["q_fact_stock_large"] = ORACLE["q_fact_stock"]
+ORACLE["q_relationships_json"] = (
+    f"SELECT * FROM ({ORACLE['q_relationships']}) WHERE \"fromTable\" = 'fact_sessions'"
+)
+ORACLE["q_run_forecast"] = (
+    f"SELECT r.*, n.items FROM ({ORACLE['q_forecast_revenue']}) r LEFT JOIN "
+    f"(SELECT date, count(*) AS items FROM ({ORACLE['q_forecast_consumption']}) GROUP BY 1) n USING (date)"
+)

@@ -11,12 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportstar.functions.numbers import CURRENCY, THOUSANDS
-from reportstar.functions.text import TERMINAL_RULES
+from reportstar.functions.text import COMPUTER_PREFIX
 from reportstar.operators.lookup import attach
+from reportstar.sources.layouts import LAYOUTS
 from reportstar.sources.tables import scan_table
 
 # Twelve terminals: six computers, three consoles, two special ones and a kiosk.
-COMPUTER = TERMINAL_RULES[2][2]
+# Fixed value: how the names of the computers begin.
+COMPUTER = COMPUTER_PREFIX
 TERMINALS = (
     *[f"{COMPUTER}{i:02}" for i in range(1, 7)],
     *[f"PS5 ({i})" for i in range(1, 4)],
@@ -28,12 +30,17 @@ GRID_WIDTH = 60
 CELL_SEP = "\t"
 ROWS_PER_PAGE = 40
 ROWS_PER_FILE = 1000
+# A printed text file of some 40 MB.
+ORDERS_PER_TEXT_FILE = 250_000
 # A page of the grid takes its data rows, a blank, the page marker, a blank and a header.
 GRID_PAGE = ROWS_PER_PAGE + 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_table(spark, f"{sf_dir}/{name}.parquet")
+    """A benchmark table; those of a single file hold one row group and are dealt over the cores on request."""
+    path = f"{sf_dir}/{name}.parquet"
+    small = len(spark.read.parquet(path).inputFiles()) == 1
+    return scan_table(spark, path, spark.sparkContext.defaultParallelism if small else None)
 
 
 def cents(amount: str) -> Column:
@@ -183,7 +190,7 @@ def _row(index: Column, cells: dict[int, Column | str]) -> Column:
         parts += [F.lit(CELL_SEP * (i - at)), value if isinstance(value, Column) else F.lit(value)]
         at = i
     parts.append(F.lit(CELL_SEP * (GRID_WIDTH - 1 - at)))
-    return F.struct(index.cast("int").alias("row_idx"), F.split(F.concat(*parts), CELL_SEP).alias("cells"))
+    return F.struct(index.cast("bigint").alias("row_idx"), F.split(F.concat(*parts), CELL_SEP).alias("cells"))
 
 
 # Header texts of the cash report; the last one stands a cell before its data.
@@ -198,14 +205,14 @@ GRID_HEADER = {
 }
 
 
-def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Printed cash reports of ``ROWS_PER_FILE`` orders each.
+def raw_grid(spark: SparkSession, sf_dir: str, per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Printed cash reports of ``per_file`` orders each.
 
     Every order yields its own row and, at the end of a page or file, the artifacts that
     follow it. The place of a row follows from the order key alone.
     """
     key = F.col("o_orderkey")
-    k = key % ROWS_PER_FILE
+    k = key % per_file
     page = F.floor(k / ROWS_PER_PAGE)
     at = 5 + page * GRID_PAGE + k % ROWS_PER_PAGE
     ends_page = k % ROWS_PER_PAGE == ROWS_PER_PAGE - 1
@@ -231,7 +238,7 @@ def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         _row(F.lit(3), {}),
         _row(F.lit(4), GRID_HEADER),
     ]
-    number = F.concat(F.lit("Page "), page + 1, F.lit(f"/{ROWS_PER_FILE // ROWS_PER_PAGE}"))
+    number = F.concat(F.lit("Page "), page + 1, F.lit(f"/{per_file // ROWS_PER_PAGE}"))
     between = [
         _row(at + 1, {}),
         _row(at + 2, {54: number}),
@@ -249,12 +256,63 @@ def raw_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(k == 0, F.array(*preamble)),
                 F.array(data),
                 F.when(ends_page, F.array(*between)),
-                F.when(k == ROWS_PER_FILE - 1, F.array(*footer)),
+                F.when(k == per_file - 1, F.array(*footer)),
             )
         )
     )
     return table(spark, sf_dir, "orders").select(
         F.lit("cash").alias("report"),
-        F.concat(F.lit("cash_"), F.floor(key / ROWS_PER_FILE)).alias("source_file"),
+        F.concat(F.lit("cash_"), F.floor(key / per_file)).alias("source_file"),
         F.inline(rows),
     )
+
+
+def printed(raw: DataFrame, name: str) -> DataFrame:
+    """A text table as a grid, one file per partition: preamble, data rows and a page marker."""
+    layout = LAYOUTS[name]
+    place = F.monotonically_increasing_id()
+    cells = [F.lit("")] * (max(*layout.columns, 5) + 1)
+    for at, column in layout.columns.items():
+        cells[at] = F.col(column)
+    row = lambda at, texts: F.struct(F.lit(at).cast("bigint").alias("row_idx"), texts.alias("cells"))
+    width = len(cells)
+    blank = F.array(*[F.lit("")] * width)
+    head = F.array(*[F.lit("Cashier" if i == min(layout.columns) else "") for i in range(width)])
+    page = F.array(*[F.lit("Page 1/1" if i == 5 else "") for i in range(width)])
+    preamble = [row(i, blank) for i in range(4)] + [row(4, head), row(5, page)]
+    numbered = raw.select(F.array(*cells).alias("own"), place.alias("place"))
+    low = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    data = F.array(F.struct((low + 6).alias("row_idx"), F.col("own").alias("cells")))
+    rows = F.when(low == 0, F.concat(F.array(*preamble), data)).otherwise(data)
+    return numbered.select(
+        F.lit(name).alias("report"),
+        F.concat(F.lit(f"{name}_"), F.shiftright("place", 33)).alias("source_file"),
+        F.inline(rows),
+    )
+
+
+def write_text_grid(grid: DataFrame, path: str) -> None:
+    """One text file per ``source_file``, its rows in order."""
+    (
+        grid.repartition("source_file")
+        .sortWithinPartitions("source_file", "row_idx")
+        .select("source_file", F.array_join("cells", CELL_SEP, ""))
+        .write.partitionBy("source_file")
+        .text(path)
+    )
+
+
+# Header texts of the member report as it is explored: one has a dot, two are equal.
+MEMBER_HEADER = ("Member", "Usage", "Ord.& Trans.", "Usage", "Class", "")
+
+
+def member_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member report with the header repeated after every fiftieth member."""
+    key = F.col("c_custkey")
+    balance = cents("c_acctbal")
+    own = F.array(F.col("c_name"), money_text(balance), money_text(F.abs(balance) % 300), money_text(balance * 2), F.col("c_mktsegment"), F.lit(""))
+    header = F.array(*[F.lit(x) for x in MEMBER_HEADER])
+    row = lambda at, cells: F.struct(at.cast("bigint").alias("row_idx"), cells.alias("cells"))
+    rows = F.when(key % 50 == 0, F.array(row(5 + 2 * key, own), row(6 + 2 * key, header))).otherwise(F.array(row(5 + 2 * key, own)))
+    members = table(spark, sf_dir, "customer").select(F.inline(rows))
+    return members.unionByName(spark.range(1).select(F.lit(4).cast("bigint").alias("row_idx"), header.alias("cells")))

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from reportstar.operators.clean import clean_all
+from reportstar.operators.clean import bad_cell, clean_all, count_bad_cells
 from reportstar.operators.explore import table_counts
 from reportstar.operators.forecast import forecast_tables
 from reportstar.operators.star import transform
 from reportstar.operators.strip import check_width, strip_artifacts
 from reportstar.sources.grid import scan_reports
 from reportstar.sources.layouts import LAYOUTS
-from reportstar.sources.star import STAR_SCHEMAS, load_data, read_star, write_all, write_table
-from reportstar.staging import stage
+from reportstar.sources.star import STAR_SCHEMAS, load_data, read_star, read_table, write_all, write_table
+from reportstar.staging import run_folders, stage
 
 
 def ingest_all(
@@ -37,10 +37,17 @@ def run_etl(
     """Build and write the star schema; returns the rows per written table.
 
     The stripped text tables are staged as columns, since dimensions read two or three of
-    their columns and facts all of them. Bad cells abort the run unless ``strict`` is off.
+    their columns and facts all of them. Bad cells are counted in that same pass and abort the run
+    unless ``strict`` is off. The staged tables are removed at the end.
     """
-    raw = {name: stage(df, f"raw_{name}") for name, df in ingest_all(spark, input_dir, input_fmt).items()}
-    write_all(transform(clean_all(raw, strict)), output_dir, fmt)
+    with run_folders(spark):
+        raw = {}
+        for name, df in ingest_all(spark, input_dir, input_fmt).items():
+            seen = Observation(f"bad_{name}")
+            raw[name] = stage(count_bad_cells(name, df, seen) if strict else df, f"raw_{name}")
+            if strict and seen.get["bad"]:
+                raise bad_cell(name, raw[name])
+        write_all(transform(clean_all(raw)), output_dir, fmt)
     return table_counts(read_star(spark, output_dir, STAR_SCHEMAS, fmt))
 
 
@@ -52,11 +59,14 @@ def run_forecast(
     freq: str = "D",
     fmt: str = "csv",
 ) -> dict[str, DataFrame]:
-    """Forecast from a written star schema and write both forecast tables."""
-    data = load_data(spark, output_dir, fmt)
-    tables = forecast_tables(data["cash"], data["stock"], data["items"], horizon, freq)
+    """Forecast from a written star schema; writes and reads back ``consumption``, ``revenue`` and ``skipped``."""
     base = forecast_dir.rstrip("/\\")
-    for name in ("consumption", "revenue"):
-        tables[name] = stage(tables[name], f"forecast_{name}")
-        write_table(tables[name], f"{base}/forecast_{name}", fmt)
-    return tables
+    written = {}
+    with run_folders(spark):
+        data = load_data(spark, output_dir, fmt)
+        tables = forecast_tables(data["cash"], data["stock"], data["items"], horizon, freq)
+        for name in ("consumption", "revenue", "skipped"):
+            path = f"{base}/forecast_{name}"
+            write_table(tables[name], path, fmt)
+            written[name] = read_table(spark, path, tables[name].schema, fmt)
+    return written

@@ -15,7 +15,7 @@ GRID_SCHEMA = T.StructType(
     [
         T.StructField("report", T.StringType()),
         T.StructField("source_file", T.StringType()),
-        T.StructField("row_idx", T.IntegerType()),
+        T.StructField("row_idx", T.LongType()),
         T.StructField("cells", T.ArrayType(T.StringType())),
     ]
 )
@@ -56,7 +56,7 @@ def scan_text_grid(spark: SparkSession, path: str, report: str, sep: str = "\t")
     return attach(lines, splits, "split", "split_key").select(
         F.lit(report).alias("report"),
         "source_file",
-        (F.col("seq") + F.col("shift")).cast("int").alias("row_idx"),
+        (F.col("seq") + F.col("shift")).alias("row_idx"),
         "cells",
     )
 
@@ -82,12 +82,12 @@ def scan_with_header(grid: DataFrame, header_row: int = 4) -> DataFrame:
         raise ValueError(f"no header row {header_row} in the grid")
     if len(headers) > 1:
         raise ValueError("files with different headers; scan them separately")
+    cells = [c if c and c.strip() else f"Unnamed: {i}" for i, c in enumerate(headers[0]["cells"])]
     names: list[str] = []
-    seen: dict[str, int] = {}
-    for i, cell in enumerate(headers[0]["cells"]):
-        name = cell if cell and cell.strip() else f"Unnamed: {i}"
-        seen[name] = seen.get(name, -1) + 1
-        names.append(f"{name}.{seen[name]}" if seen[name] else name)
+    for name in cells:
+        # The first number that neither an earlier column nor a header text has.
+        tries = (name if not n else f"{name}.{n}" for n in range(len(cells) + 1))
+        names.append(next(t for t in tries if t not in names and (t == name or t not in cells)))
     values = []
     for i, name in enumerate(names):
         cell = F.get("cells", F.lit(i))

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.operators.quality import relationships_table
+from reportstar.operators.quality import relationships
 
 FORMATS = ("csv", "parquet")
-# Timestamps and empty texts as they are written to delimited files.
+# Delimited files as other programs take them: blanks stay, a quote is doubled, texts may hold line breaks.
+# NULL is an empty cell and an empty text is "".
 CSV_OPTIONS = {
     "header": "true",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "quote": '"',
+    "escape": '"',
 }
+# Only an unquoted empty cell is NULL: the text that stands for it can't be in a file otherwise.
+CSV_READ_OPTIONS = {"enforceSchema": "false", "multiLine": "true", "mode": "FAILFAST", "nullValue": "\x00"}
 
 # Types of the star tables.
 STAR_SCHEMAS = {
@@ -77,12 +84,15 @@ def write_all(tables: dict[str, DataFrame], output_dir: str, fmt: str = "csv") -
 
 
 def write_relationships(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
-    """One JSON document with all relationships; it has one entry per foreign key column."""
-    entries = relationships_table(spark, tables)
-    document = entries.agg(
-        F.to_json(F.struct(F.collect_list(F.struct(*entries.columns)).alias("relationships"))).alias("value")
-    )
-    document.write.mode("overwrite").text(path)
+    """One JSON file with all relationships, one entry per foreign key column; written by the session's file system."""
+    text = json.dumps({"relationships": relationships(tables)}, indent=2)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "csv") -> DataFrame:
@@ -90,7 +100,7 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt:
     _check_format(fmt)
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS).option("enforceSchema", "false")
+        reader = reader.options(**CSV_OPTIONS, **CSV_READ_OPTIONS)
     try:
         return reader.load(path)
     except AnalysisException as error:

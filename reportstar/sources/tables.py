@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than the cluster has cores a task per core.
+def scan_table(spark: SparkSession, path: str, deal_over: int | None = None) -> DataFrame:
+    """A Parquet table as Spark splits it.
 
-    Small files of one row group are read by a single task, which then does all the parsing.
-    A table with enough splits, so any large one, is left as it is and not shuffled.
+    ``deal_over`` deals the rows over so many tasks by a shuffle. It is for small tables of one row group,
+    which a single task would parse alone; nothing is dealt unless it is asked for.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
-
-
-def scan_table(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.parquet(path))
+    df = spark.read.parquet(path)
+    return df.repartition(deal_over, df.columns[0]) if deal_over else df

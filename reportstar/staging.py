@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +30,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/reportstar/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/reportstar/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+@contextmanager
+def run_folders(spark: SparkSession):
+    """Remove, at the end, every folder of intermediate tables made inside."""
+    before = set(_made)
+    try:
+        yield
+    finally:
+        for path in [p for p in _made if p not in before]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _made.remove(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
 from check_oracle import compare, connect
+from reportstar.plans.catalog import QUERIES
 
 pytestmark = pytest.mark.skipif(not Path(SMOKE_DIR).is_dir(), reason="benchmark tables not present")
 
@@ -15,8 +16,8 @@ def duck():
     return connect(SMOKE_DIR)
 
 
-def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+def test_every_query_of_the_catalogue_has_its_sql():
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -25,7 +26,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -44,7 +44,7 @@ def test_reports_to_forecasts(spark, rows, tmp_path, input_fmt):
     assert star["fact_cash_transactions"].filter("terminal_id is null").count() == 0
     tables = run_forecast(spark, str(out), str(forecasts), horizon=7)
     assert tables["revenue"].count() == 7 and tables["consumption"].count() == 7
-    assert {p.name for p in forecasts.iterdir()} == {"forecast_consumption", "forecast_revenue"}
+    assert {p.name for p in forecasts.iterdir()} == {"forecast_consumption", "forecast_revenue", "forecast_skipped"}
 
 
 def test_missing_column_fails(spark, tmp_path):
