@@ -53,7 +53,8 @@ def shingle_hashes(w: Column) -> Column:
 
 def shingle_texts(w: Column) -> Column:
     starts = F.sequence(F.lit(1), F.size(w) - (WORDS - 1))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(WORDS)), " ")))
+    texts = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(w, i, F.lit(WORDS)), " ")))
+    return F.when(F.size(w) >= WORDS, texts)
 
 
 def bands(h: Column) -> Column:
