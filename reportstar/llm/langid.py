@@ -6,7 +6,8 @@ both sizes. Landmark texts map a kernel row to features in which one ridge regre
 is solved; a batch is scored by two matrix products.
 
 A null text, and one without any letter, gets ``und`` and score 0. Without learnable rows every text
-gets ``und``. A null ``doc_id`` is never a learner and counts as not held out. Repeated rows count each.
+gets ``und``. A null ``doc_id`` is never a learner and counts as not held out. Repeated rows teach once (of
+texts under one ``doc_id`` the smallest) and are identified each.
 """
 
 from __future__ import annotations
@@ -113,10 +114,12 @@ def fit_languages(docs: DataFrame) -> Kernel:
     """
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = ids.select("doc_id", F.col("lang").cast("string").alias("lang")).withColumn("rank", F.row_number().over(by))
+    ids = ids.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct().withColumn("rank", F.row_number().over(by))
     ids = ids.filter(F.col("rank") <= PER_LANGUAGE)
     texts = docs.select(F.col("doc_id"), F.col("text")).filter(F.col("text").isNotNull())
-    chosen = texts.join(F.broadcast(ids), "doc_id").select("text", "lang", "rank")
+    # One text per chosen id, however often it is repeated; reduced before the shuffle.
+    chosen = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "lang", "rank").agg(F.min("text").alias("text"))
+    chosen = chosen.select("text", "lang", "rank")
     schema = "bits binary, lang string, rank int"
 
     def sets(batches):

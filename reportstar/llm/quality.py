@@ -7,7 +7,8 @@ The network has one hidden layer and is trained on a bounded sample of the label
 temperature fitted on rows apart from these calibrates its probabilities.
 
 Null and empty texts have no words: their features are zero and their score is what the network
-gives for that. Null labels and labels without a document teach nothing; of repeated rows each counts.
+gives for that. Null labels and labels without a document teach nothing; repeated rows teach once (of texts
+under one ``doc_id`` the smallest) and are scored each.
 With no label, or labels of one kind, the score is the share of label 1 (0.5 without labels).
 A null ``doc_id`` is never a learner and counts as not held out.
 """
@@ -182,8 +183,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tup
     context = context_vectors(docs)
     chosen = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = chosen.select("doc_id", F.col("quality").cast("double").alias("quality"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    chosen = chosen.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
+    # One text per label, however often a doc_id is repeated; reduced before the shuffle.
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("text", "quality")
     schema = T.StructType([T.StructField("x", T.BinaryType()), T.StructField("y", T.DoubleType())])
 
     def pooled(batches):
@@ -191,8 +194,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tup
             x = features(batch.column(0), context).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column(1)], names=["x", "y"])
 
-    got = sorted((bytes(r.x), r.y) for r in rows.mapInArrow(pooled, schema).collect())[: 4 * sample]
-    x = np.array([np.frombuffer(r, np.float32) for r, _ in got], float).reshape(len(got), -1)
+    got = sorted((bytes(r.x), r.y) for r in rows.mapInArrow(pooled, schema).collect())
+    x = np.array([np.frombuffer(r, np.float32) for r, _ in got], float).reshape(len(got), 4 * DIMS + 4)
     return context, train(x, np.array([y for _, y in got]))
 
 

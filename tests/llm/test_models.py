@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reportstar.llm import html_text, langid, quality
 from reportstar.staging import stage
@@ -42,7 +43,7 @@ def test_quality(spark, corpus):
     rows, labels, _ = corpus
     docs, marked = tables(spark, rows, labels)
     model = quality.fit_quality(docs, marked)
-    scored = quality.score_quality(docs, model, "score").select("*", quality.held_out(docs["doc_id"]).alias("out")).collect()
+    scored = quality.score_quality(docs, model, "score").select("*", quality.held_out(F.col("doc_id")).alias("out")).collect()
     assert len(scored) == len(rows) and all(0 <= r.score <= 1 for r in scored)
     apart = [r for r in scored if r.out and r.doc_id < 400]
     right = [(r.score >= 0.5) == bool(labels[r.doc_id][1]) for r in apart]
@@ -75,7 +76,7 @@ def test_labels_that_are_held_out_teach_nothing(spark, corpus):
 def test_languages(spark, corpus):
     rows, _, truth = corpus
     docs, _ = tables(spark, rows)
-    found = langid.identify(docs, langid.fit_languages(docs), "found").select("doc_id", "text", "found.*", langid.held_out(docs["doc_id"]).alias("out")).collect()
+    found = langid.identify(docs, langid.fit_languages(docs), "found").select("doc_id", "text", "found.*", langid.held_out(F.col("doc_id")).alias("out")).collect()
     apart = [r.lang == truth[r.doc_id] for r in found if r.out and r.doc_id < 400]
     assert len(apart) > 40 and np.mean(apart) > 0.98
     assert all((r.lang, r.score) == ("und", 0) for r in found if r.doc_id in (900, 901, 902))
