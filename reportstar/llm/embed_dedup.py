@@ -6,8 +6,8 @@ code and another rotated vector an unbiased estimate of their inner product, wit
 holds with high confidence (``EPSILON`` standard units). A pair whose upper bound is below the
 threshold is dropped; every other pair is recomputed exactly, in double precision.
 
-Pairs meet in ``TABLES`` tables on ``BITS`` signs of further rotations. Two vectors at cosine 0.9 share a table with
-probability 0.046, and one of the 64 with 0.95; at 0.98 it is all but certain. Each table is counted first, so that only
+Pairs meet in ``TABLES`` tables on ``BITS`` signs of further rotations. Of random pairs at cosine 0.9, 93 % share one of
+the 64 tables; at 0.95 it is 99.9 %. Each table is counted first, so that only
 vectors with company fetch their components. A crowded bucket is dealt into blocks whose pairs of blocks are
 compared one by one: nothing is capped. A pair counts in the first table where it meets.
 Links leave a task as counts and as a spanning set of edges, never as pairs.

@@ -139,7 +139,8 @@ def describe(page: list[Block]) -> np.ndarray:
         words = b.text.split(" ")
         hashed = [_words.get(w) or _word(w) for w in words]
         at, sign = zip(*hashed, strict=True)
-        x[i, PATH : PATH + WORD] = np.bincount(at, sign, WORD) / np.sqrt(len(words))
+        hashed = np.bincount(at, sign, WORD)
+        x[i, PATH : PATH + WORD] = hashed / max(np.sqrt(hashed @ hashed), 1)  # a text that repeats a word is no outlier
         stops = b.text.count(".") + b.text.count(",")
         x[i, PATH + WORD :] = (np.log1p(len(words)) / 4, np.log1p(len(b.text)) / 6, b.linked, min(stops / len(words), 1),
                                i / len(page), (len(page) - 1 - i) / len(page), len(b.path) / 8, 1)
