@@ -26,6 +26,7 @@ BITS = 1 << 14
 NGRAMS = 4
 #: Bounds of what is learnt from: texts and landmarks of each language.
 PER_LANGUAGE = 600
+PARTS = 256
 LANDMARKS = 40
 RIDGE = 1e-2
 SHARPNESS = 6.0
@@ -112,9 +113,14 @@ def fit_languages(docs: DataFrame) -> Kernel:
     They are found on ids alone, with a rank that Spark bounds before the shuffle, and reach the
     driver as bit sets of ``BITS`` / 8 bytes and kernel rows, not as texts.
     """
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = ids.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct().withColumn("rank", F.row_number().over(by))
+    ids = ids.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct()
+    # First within parts of a language, so that a frequent one is not ranked by one task.
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(PARTS))
+    first = F.row_number().over(Window.partitionBy("lang", part).orderBy(*order))
+    ids = ids.withColumn("rank", first).filter(F.col("rank") <= PER_LANGUAGE)
+    ids = ids.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     ids = ids.filter(F.col("rank") <= PER_LANGUAGE)
     texts = docs.select(F.col("doc_id"), F.col("text")).filter(F.col("text").isNotNull())
     # One text per chosen id, however often it is repeated; reduced before the shuffle.
