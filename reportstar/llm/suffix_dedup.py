@@ -44,6 +44,7 @@ MERGE_ROWS = 10_000
 CROWDED = 5_000
 _PLACE = 20  # bits of a position in a segment
 _KEY = 8  # bytes of the gram's hash before each suffix
+_SPREAD = 0x9E3779B97F4A7C15  # odd, so that no two hashes meet
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -187,8 +188,9 @@ def _make_runs(parts: int):
             for raw, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for x in found:
                     q, lo, hi = x["place"], x["lo"], x["hi"]
-                    gram = (x["gram"] + (1 << 64)) % (1 << 64)
-                    suffix = gram.to_bytes(_KEY) + raw[q : q - lo + LENGTH]
+                    # Anchors have the smallest hashes of their windows: spread them evenly again.
+                    key = x["gram"] * _SPREAD % (1 << 64)
+                    suffix = key.to_bytes(_KEY) + raw[q : q - lo + LENGTH]
                     items.append((suffix, raw[q - hi : q][::-1], lo, hi, x["gram"], x["context"], x["alone"]))
             if len(items) > 200_000:
                 yield from _send(items, parts)
