@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.functions.text import strip
+from reportstar.functions.text import quoted, strip
 from reportstar.staging import stage
 
 # A lookup is broadcast only when it was measured to stay within both bounds.
@@ -19,14 +19,16 @@ _KEY = "__lookup_key"
 _SALT = "__lookup_salt"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """Measure the rows and bytes of ``df`` against the bounds."""
+def stage_measured(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
+    """The stored table with its rows and bytes, which are counted while it is written."""
     width = F.lit(0)
     for field in df.schema.fields:
         text = isinstance(field.dataType, T.StringType)
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) if text else 8)
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+        width = width + (F.coalesce(F.octet_length(quoted(field.name)), F.lit(0)) if text else 8)
+    seen = Observation(f"size of {name}")
+    sizes = F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    stored = stage(df.observe(seen, *sizes), name)
+    return stored, seen.get["rows"], seen.get["bytes"]
 
 
 def attach(
@@ -51,8 +53,8 @@ def attach(
     same = left_col.eqNullSafe(F.col(_KEY)) if null_safe else left_col == F.col(_KEY)
     if rows_at_most is not None and rows_at_most <= max_rows:
         return left.join(F.broadcast(keyed), same, "left").drop(_KEY)
-    keyed = stage(keyed, "lookup")
-    if fits_broadcast(keyed, max_rows, max_bytes):
+    keyed, rows, size = stage_measured(keyed, "lookup")
+    if rows <= max_rows and size <= max_bytes:
         return left.join(F.broadcast(keyed), same, "left").drop(_KEY)
     if null_safe:
         return left.join(keyed, same, "left").drop(_KEY)
