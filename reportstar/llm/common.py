@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reportstar.staging import stage
 
 CHUNK_BYTES = 1 << 20
+HOME = str(Path(__file__).resolve().parents[2])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if that folder is shared.
+
+    On a cluster without such a folder the package is installed or sent along (``--py-files``) as usual.
+    """
+    known = spark.sparkContext.environment
+    paths = [p for p in known.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if HOME not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*paths, HOME])
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, or ``base`` with underscores before it until no column has that name."""
     taken = {c.lower() for c in df.columns}
@@ -112,6 +126,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def append_column(docs: DataFrame, text: str, name: str, kind: T.DataType, values: Callable) -> DataFrame:
     """Add column ``name``: ``values(text array)`` returns an Arrow array for each batch."""
+    reach_workers(docs.sparkSession)
     schema = T.StructType(docs.schema.fields + [T.StructField(name, kind)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

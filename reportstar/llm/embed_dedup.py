@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.llm.common import components, staged
+from reportstar.llm.common import components, reach_workers, staged
 
 THRESHOLD = 0.9
 BITS = 20
@@ -215,6 +215,7 @@ def _by_length(table: pa.Table):
 
 def group_vectors(vectors: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vectors`` (``vec_id``, ``embedding``)."""
+    reach_workers(vectors.sparkSession)
     v = F.col("embedding").cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     good = F.coalesce(good, F.lit(False))

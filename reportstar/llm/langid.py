@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.llm.common import append_column, text_chunks
+from reportstar.llm.common import append_column, reach_workers, text_chunks
 
 BITS = 1 << 14
 NGRAMS = 4
@@ -113,6 +113,7 @@ def fit_languages(docs: DataFrame) -> Kernel:
     They are found on ids alone, with a rank that Spark bounds before the shuffle, and reach the
     driver as bit sets of ``BITS`` / 8 bytes and kernel rows, not as texts.
     """
+    reach_workers(docs.sparkSession)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = ids.select("doc_id", F.col("lang").cast("string").alias("lang")).distinct()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.llm.common import RollingHash, append_column, free_name, text_chunks
+from reportstar.llm.common import RollingHash, append_column, free_name, reach_workers, text_chunks
 
 SLOTS = 8192
 DIMS = 32
@@ -65,6 +65,7 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def context_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Context vector of every slot over all texts; ``SLOTS`` rows reach the driver, whatever the input."""
+    reach_workers(docs.sparkSession)
     fields = [T.StructField("slot", T.IntegerType())]
     fields += [T.StructField(f"d{i}", T.LongType()) for i in range(DIMS)]
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.llm.common import RollingHash, free_name, mix, staged, text_chunks, with_row_key
+from reportstar.llm.common import RollingHash, free_name, mix, reach_workers, staged, text_chunks, with_row_key
 
 LENGTH = 200
 GRAM = 32
@@ -362,6 +362,7 @@ def remove_repeats(docs: DataFrame, name: str = "repeats") -> DataFrame:
     """
     row, spans, name = free_name(docs, "suffix_row"), free_name(docs, "suffix_spans"), free_name(docs, name)
     found_row = free_name(docs, "suffix_found_row")
+    reach_workers(docs.sparkSession)
     keyed = with_row_key(docs, row)
     found = repeats(keyed, row).select(F.col("row").alias(found_row), F.col("spans").alias(spans))
     joined = keyed.join(found, F.col(row) == F.col(found_row), "left").drop(row, found_row)
