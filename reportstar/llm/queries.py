@@ -70,10 +70,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and runs removed from each document, and the digest of the text that stays."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = linededup.dedup_lines(docs, report="report")
+def line_report(kept: DataFrame) -> DataFrame:
     return kept.select(
         "doc_id",
         F.col("report.lines").cast("long").alias("n_lines"),
@@ -83,6 +80,18 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and runs removed from each document, and the digest of the text that stays; tails of runs stay, as in its SQL."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_report(linededup.dedup_lines(docs, report="report"))
+
+
+def op9_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of maximal runs with their tails."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_report(linededup.dedup_lines(docs, report="report", tails=True))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.group_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -97,6 +106,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
+    "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
