@@ -9,8 +9,11 @@ template of four shingles or more is retrieved with probability above 0.99; a wh
 full window has a likeness of a half and is missed once in 10**9. Candidates are verified by the exact
 share of the template's shingles, as words, in the window.
 
+A template of fewer words than a shingle, ``LEAST_WORDS`` at least, is contained where all its words follow each other;
+``first_word`` is then the place of its first word. Shorter ones are refused.
+
 The templates are a parameter and therefore bounded; they are broadcast. Null and empty texts, and texts of
-fewer words than a shingle, contain nothing. Repeated rows are reported each, a notice once per row and license, with
+fewer words than a template's shingle, contain nothing. Repeated rows are reported each, a notice once per row and license, with
 its first best window.
 """
 
@@ -25,6 +28,7 @@ WORDS = 5
 CONTAINMENT = 0.8
 BANDS = 32
 LEAST = 4
+LEAST_WORDS = 3
 
 # Public license notices: fixed values.
 TEMPLATES = {
@@ -40,6 +44,15 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
+# Short notices and identifiers. The registered SQL is made from TEMPLATES and five words, so these stand apart.
+SHORT_TEMPLATES = {
+    "all-rights-reserved": "All rights reserved.",
+    "SPDX-Apache-2.0": "SPDX-License-Identifier: Apache-2.0",
+    "SPDX-BSD-3-Clause": "SPDX-License-Identifier: BSD-3-Clause",
+    "SPDX-GPL-3.0-only": "SPDX-License-Identifier: GPL-3.0-only",
+    "SPDX-MIT": "SPDX-License-Identifier: MIT",
+}
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
@@ -68,7 +81,7 @@ def template_table(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
     rows = docs.sparkSession.range(1).select(F.inline(notices))
     rows = rows.withColumn("w", words(F.col("notice"))).withColumn("h", shingle_hashes(F.col("w")))
     size = F.greatest(F.lit(LEAST), F.pow(F.lit(2.0), F.ceil(F.log2(F.size("h").cast("double")))).cast("int"))
-    return rows.select("license", size.alias("size"), "h", shingle_texts(F.col("w")).alias("shingles"), bands(F.col("h")).alias("bands"))
+    return rows.select("license", "w", size.alias("size"), "h", shingle_texts(F.col("w")).alias("shingles"), bands(F.col("h")).alias("bands"))
 
 
 def hit_places(h: Column, wanted: list[int]) -> Column:
@@ -80,9 +93,34 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> D
     """``doc_id, license, containment, first_word`` for each row and license that it contains."""
     templates = TEMPLATES if templates is None else templates
     table = template_table(docs, templates)
-    known = table.select("license", "size", "h", "shingles", "bands").collect()  # as many rows as templates
-    if any(t.h is None for t in known):
-        raise ValueError(f"templates need at least {WORDS} words")
+    known = table.select("license", "w", "size", "h", "shingles", "bands").collect()  # as many rows as templates
+    if any(len(t.w) < LEAST_WORDS for t in known):
+        raise ValueError(f"templates need at least {LEAST_WORDS} words")
+    short = {t.license: " ".join(t.w) for t in known if t.h is None}
+    known = [t for t in known if t.h is not None]
+    if not short:
+        return scan_shingles(docs, table, known)
+    found = scan_short(docs, short)
+    return scan_shingles(docs, table.filter(F.col("h").isNotNull()), known).union(found) if known else found
+
+
+def scan_short(docs: DataFrame, notices: dict[str, str]) -> DataFrame:
+    """``scan_licenses`` for notices given as their words with single spaces."""
+
+    def places(text: Column) -> Column:
+        def place(name: str, notice: str) -> Column:
+            at = F.instr(text, f" {notice} ")
+            first = (F.size(F.split(F.substring(text, F.lit(1), at), " ", -1)) - 2).cast("long")
+            return F.when(at > 0, F.struct(F.lit(name).alias("license"), F.lit(1.0).alias("containment"), first.alias("first_word")))
+
+        return F.filter(F.array(*(place(*n) for n in sorted(notices.items()))), lambda x: x.isNotNull())
+
+    text = F.concat(F.lit(" "), F.array_join(words(F.col("text")), " "), F.lit(" "))
+    return docs.select("doc_id", F.inline(let(text, places)))
+
+
+def scan_shingles(docs: DataFrame, table: DataFrame, known: list) -> DataFrame:
+    """``scan_licenses`` for templates of ``WORDS`` words or more; ``known`` are the rows of ``table``."""
     wanted = sorted({x for t in known for x in t.h})
     # Words, hashes and hits come from one expression beside the row number: a filter on the hits
     # can't be pushed below a projection that numbers rows, so each is computed once per text.

@@ -40,6 +40,12 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_license_scan_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with short notices and identifiers, which the SQL of op5_license_scan leaves out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs, licenses.TEMPLATES | licenses.SHORT_TEMPLATES)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and passage found in it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +108,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mix_sources": op4_mix_sources,
     "op5_license_scan": op5_license_scan,
+    "op5_license_scan_whole": op5_license_scan_whole,
     "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
