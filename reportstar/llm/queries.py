@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import decontaminate, embed_dedup, html_text, langid, licenses, linededup, mixing, quality, simhash, suffix_dedup
+from reportstar.llm import decontaminate, embed_dedup, html_text, langid, licenses, linededup, mixing, quality, simhash, spelling, suffix_dedup, url_filter
 from reportstar.llm.common import with_row_key
+from reportstar.llm.oracle import ORACLE as MORE_SQL
+from reportstar.llm.oracle import RULES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,6 +104,15 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.group_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=199)
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_html_text": op2_html_text,
@@ -115,6 +126,8 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_url_filter": op13_url_filter,
 }
 
 _QUOTE = "'"
@@ -122,7 +135,7 @@ _NOTICES = ", ".join(
     "(" + ", ".join(_QUOTE + x.replace(_QUOTE, 2 * _QUOTE) + _QUOTE for x in pair) + ")" for pair in licenses.TEMPLATES.items()
 )
 
-ORACLE = {
+ORACLE = MORE_SQL | {
     "op4_mix_sources": f"""
 WITH sizes AS (
   SELECT source, count(*) AS n, CASE source WHEN 'src0' THEN 0.1 ELSE {mixing.DEFAULT} END::DOUBLE AS w
