@@ -33,6 +33,22 @@ def _crc32(text: str) -> str:
     return f"xor(4294967295, list_reduce(list_concat({start}, {values}), lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255)::INT + 1])))"
 
 
+def _edit(value: str, cost: str, letter: str, turn: str = "[]") -> str:
+    return f"{{'c': {value}.c + {cost}, 'a': '{letter}' || {value}.a, 't': list_concat({turn}::VARCHAR[], {value}.t)}}"
+
+
+def _kept(initials: dict[str, str]) -> str:
+    """The state's value after keeping a row, by the initial of its role."""
+    ways = " ".join(f"WHEN ini = '{i}' THEN {_edit(v, 'late', 'K', '[said]')}" for i, v in initials.items())
+    return f"CASE WHEN must THEN NULL {ways} END"
+
+
+def _step(state: int, kept: dict[str, str]) -> str:
+    given, role = ("v3", "assistant") if state == 2 else ("v2", "user")
+    reroled = f"CASE WHEN NOT must THEN {_edit(given, '2 + late', 'R', f'[{chr(39)}{role}:{chr(39)} || text]')} END"
+    return f"least({_edit(f'v{state}', '3', 'D')}, {reroled}, {_kept(kept | {'': f'v{state}'})}) AS b{state}"
+
+
 ORACLE = {
     "op11_spelling_variants": f"""
 WITH RECURSIVE {_CRC.strip()},
@@ -62,6 +78,50 @@ path(word, place) AS (
   UNION ALL SELECT path.word, forms.form FROM path JOIN forms ON path.place = forms.word WHERE forms.form IS NOT NULL),
 ends AS (SELECT path.word, path.place AS root FROM path JOIN forms ON path.place = forms.word WHERE forms.form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+""",
+    "op12_conversation_repair": f"""
+WITH RECURSIVE {_CRC.strip()},
+source AS (
+  SELECT conv_id, turn, row_number() OVER () AS k, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS way
+  FROM conversations, crc_bits),
+damaged AS (
+  SELECT conv, turn, k, unnest(CASE WHEN way = 3 THEN [0, 1] ELSE [0] END) AS copy, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+         CASE way WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM source WHERE way <> 0),
+bare AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, k, copy) AS i, left(role, 1) AS ini,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS stem
+  FROM damaged),
+faults AS (
+  SELECT *, stem = '' AS blank, stem <> '' AND row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again,
+         coalesce(lag(ini) OVER (PARTITION BY conv ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal
+  FROM bare),
+rows_in AS (
+  SELECT *, blank OR again AS must, (NOT blank AND NOT again AND right(stem, 1) NOT IN ('.', '!', '?'))::BIGINT AS late,
+         role || ':' || text AS said
+  FROM faults),
+sums AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (again) AS duplicate, sum(late)::BIGINT AS truncated, count(*) FILTER (illegal) AS illegal, max(i) AS n
+  FROM rows_in GROUP BY conv),
+ways(conv, i, v0, v1, v2, v3) AS (
+  SELECT s.conv, coalesce(n, 0) + 1, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}, {{'c': 4::BIGINT, 'a': 'II', 't': ['user:', 'assistant:']}},
+         {{'c': 2::BIGINT, 'a': 'I', 't': ['assistant:']}}, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}
+  FROM (SELECT DISTINCT conv FROM source) s LEFT JOIN sums ON sums.conv = s.conv
+  UNION ALL
+  SELECT conv, i, least(b0, {_edit("w2", "2", "I", "['user:']")}), least(b1, {_edit("w2", "2", "I", "['user:']")}), w2,
+         least(b3, {_edit("w2", "2", "I", "['user:']")})
+  FROM (
+    SELECT *, least(b2, {_edit("b3", "2", "I", "['assistant:']")}) AS w2
+    FROM (
+      SELECT r.conv, r.i, {_step(0, {"s": "v1", "u": "v2"})}, {_step(1, {"u": "v2"})}, {_step(2, {"a": "v3"})}, {_step(3, {"u": "v2"})}
+      FROM ways w JOIN rows_in r ON r.conv = w.conv AND r.i = w.i - 1))),
+starts AS (SELECT conv, v0 FROM ways WHERE i = 1)
+SELECT s.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, v0.c AS cost, v0.a AS audit, sha256(coalesce(array_to_string(v0.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv, conv_id FROM source) s JOIN starts ON starts.conv = s.conv LEFT JOIN sums ON sums.conv = s.conv
 """,
     "op13_url_filter": f"""
 WITH rules(rule_host, rule_path, action) AS (VALUES {", ".join(str(r) for r in RULES)}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportstar.llm import decontaminate, embed_dedup, html_text, langid, licenses, linededup, mixing, quality, simhash, spelling, suffix_dedup, url_filter
+from reportstar.llm import conversation, decontaminate, embed_dedup, html_text, langid, licenses, linededup, mixing, quality, simhash, spelling, suffix_dedup, url_filter
 from reportstar.llm.common import with_row_key
 from reportstar.llm.oracle import ORACLE as MORE_SQL
 from reportstar.llm.oracle import RULES
@@ -108,6 +108,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), damage=199)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation.damage(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return conversation.repair(damaged, live="live", place="place").reports
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
@@ -127,6 +132,7 @@ QUERIES = {
     "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_url_filter": op13_url_filter,
 }
 
