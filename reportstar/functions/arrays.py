@@ -1,0 +1,21 @@
+"""Small vectors of doubles inside a row."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` refers to it inside a lambda."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return total(F.zip_with(a, b, lambda x, y: x * y))

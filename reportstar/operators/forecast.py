@@ -1,19 +1,30 @@
-"""Forecasts of many series at once by a linear trend with weekday effects.
+"""Forecasts of many series at once: a trend that may bend, weekday effects, and a band from past errors.
 
-This is a simple additive estimator with a fixed 80 % band. It keeps the contract of the
-forecast tables (columns, number of rows, values of at least zero), not the numbers of
+The trend of a series is a straight line that may bend at ``KNOTS`` places, spread evenly over the first
+four fifths of its periods. The bends are found from normal equations with a penalty on their size (lasso, solved by
+``SWEEPS`` rounds of coordinate descent), so that a series without a break keeps a straight line. What is left per
+weekday is the season. The band comes from forecasts that the series would have got at up to ``ORIGINS`` earlier
+dates: the root mean square of their errors, times a fixed 80 % factor.
+
+All of it is solved from sums per series, weekday and origin, which are reduced before the shuffle. The earlier
+forecasts use the same sums up to their date, so no row is read for them again. The products of the trend's parts
+depend on the number of periods alone and come from closed formulas. Bends, weekdays and origins are few and fixed: a series
+is one narrow row, whatever its length; only the periods of the past forecasts travel along to be compared.
+
+It keeps the contract of the forecast tables (columns, number of rows, values of at least zero), not the numbers of
 any particular forecasting library.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.functions.numbers import clamp_zero
+from reportstar.functions.arrays import dot, let, total
+from reportstar.functions.numbers import MONEY, clamp_zero
 from reportstar.operators.explore import top
 from reportstar.operators.lookup import attach
 from reportstar.operators.series import (
@@ -25,136 +36,216 @@ from reportstar.operators.series import (
 
 # Fixed value: two-sided 80 % quantile of the normal distribution.
 BAND = 1.2816
-# Values of a series while they are fitted: their squares are summed.
-FIT = "decimal(20,4)"
+#: Places where a trend may bend, and rounds over them.
+KNOTS, SWEEPS = 10, 50
+#: Forecasts of the past that a band is measured on. The first has at least ``ORIGINS - 1`` horizons before it.
+ORIGINS = 3
+#: The penalty, in units of the noise: what the largest of so many chance bends reaches.
+PENALTY = 2.1460
+#: A bend whose place has no more than this share of its own product left beside a straight line is none.
+NOTHING = 1e-9
 TOP_ITEMS = 10
 
+_SUM = "decimal(38,6)"
 
-def _centred(products: str, a: str, b: str) -> Column:
-    """Sum of (a - mean a)(b - mean b) from plain sums; the difference is taken exactly."""
-    n = F.col("n").cast("decimal(10,0)")
-    return (n * F.col(products) - F.col(a) * F.col(b)).cast("double") / F.col("n")
 
+def _number(c: Column) -> Column:
+    return c.cast("double")
 
-def _calendar_sums(low: date, high: date, freq: str) -> list[tuple[int, int, date, int, int, int]]:
-    """``wd, n, last_ds, last_t, t, tt`` of the calendar per weekday: seven rows, the same for every series."""
-    step, rows = step_days(freq), {}
-    for k in range((high - low).days // step + 1):
-        ds = low + timedelta(days=k * step)
-        t = (ds - date(1970, 1, 1)).days // step
-        wd = ds.weekday() if step == 1 else 0
-        n, _, _, total, squares = rows.get(wd, (0, ds, t, 0, 0))
-        rows[wd] = (n + 1, ds, t, total + t, squares + t * t)
-    return [(wd, *row) for wd, row in sorted(rows.items())]
 
+def _periods(series: DataFrame, freq: str, span: tuple[date, date] | None) -> DataFrame:
+    """``series, first, n, u, y``: each value with its number of periods since the first, and how many there are."""
+    step = step_days(freq)
+    if span is not None:
+        first, n = F.lit(span[0]), F.lit((span[1] - span[0]).days // step + 1)
+    else:
+        ends = series.groupBy(F.col("series").alias("whose")).agg(F.min("ds").alias("first"), F.max("ds").alias("last"))
+        series = series.join(ends, F.col("series").eqNullSafe(F.col("whose")))
+        first, n = F.col("first"), (F.floor(F.datediff("last", "first") / step) + 1).cast("int")
+    u = F.floor(F.datediff("ds", first) / step).cast("int")
+    return series.select("series", first.alias("first"), n.alias("n"), u.alias("u"), F.col("y").cast(MONEY).alias("y"))
 
-def _weekday_sums(series: DataFrame, freq: str, span: tuple[date, date] | None) -> DataFrame:
-    """Exact sums of t, y and their products per ``series`` and weekday.
 
-    With ``span``, ``series`` may leave out periods without a value: those add nothing to the sums with y, and
-    the sums of t are those of the calendar.
-    """
-    t = F.floor(F.unix_date("ds") / step_days(freq)).cast("decimal(10,0)")
-    wd = F.weekday("ds") if step_days(freq) == 1 else F.lit(0)
-    parts = series.select("series", "ds", wd.alias("wd"), t.alias("t"), F.col("y").cast(FIT).alias("y"))
-    with_y = [
-        F.sum("y").alias("y"),
-        F.sum(F.col("t") * F.col("y")).alias("ty"),
-        F.sum(F.col("y") * F.col("y")).alias("yy"),
-    ]
-    if span is None:
-        return parts.groupBy("series", "wd").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("ds").alias("last_ds"),
-            F.max("t").alias("last_t"),
-            F.sum("t").alias("t"),
-            F.sum(F.col("t") * F.col("t")).alias("tt"),
-            *with_y,
-        )
-    # The calendar joins as up to seven zero rows per series, so that every weekday is there.
-    days = _calendar_sums(*span, freq)
-    names = ("wd", "n", "last_ds", "last_t", "t", "tt")
-    kinds = ("int", "bigint", "date", "decimal(10,0)", "decimal(20,0)", "decimal(28,0)")
-    every = F.array(*[F.struct(*[F.lit(x).cast(k).alias(c) for x, k, c in zip(d, kinds, names)]) for d in days])
-    sums = parts.groupBy("series", "wd").agg(*with_y)
-    per_series = sums.groupBy("series").agg(
-        F.map_from_entries(F.collect_list(F.struct("wd", F.struct("y", "ty", "yy")))).alias("known")  # at most seven
-    )
-    rows = per_series.select("series", "known", F.inline(every))
-    found = F.try_element_at("known", F.col("wd"))
-    zero = {f.name: f.dataType for f in sums.schema.fields}
-    return rows.select(
-        "series", *names, *[F.coalesce(found[c], F.lit(0).cast(zero[c])).alias(c) for c in ("y", "ty", "yy")]
-    )
+def _knot(j: Column, n: Column) -> Column:
+    """Period at which the trend may bend for the ``j``-th time."""
+    return F.floor(j * 8 * (n - 1) / (10 * (KNOTS + 1))).cast("int")
 
 
-def _fit(series: DataFrame, freq: str, span: tuple[date, date] | None = None) -> DataFrame:
-    """One row per ``series``: trend, weekday effects and spread.
+def _sums(periods: DataFrame, seasons: int, horizon: int) -> DataFrame:
+    """One row per series: ``sums`` per season and fold (part of the calendar between origins), and the ``tail`` of values.
 
-    The series are reduced once, per weekday, to exact sums. Trend, weekday means and the residual
-    sum of squares follow from those, so residuals are never formed and the order of the rows does not matter.
+    Sums of values and of their products with the parts of the trend are exact, so they don't depend on the order of rows.
     """
-    weekdays = _weekday_sums(series, freq, span)
-    means = F.struct(
-        "wd",
-        "n",
-        (F.col("t").cast("double") / F.col("n")).alias("t"),
-        (F.col("y").cast("double") / F.col("n")).alias("y"),
-    )
-    whole = weekdays.groupBy("series").agg(
-        F.collect_list(means).alias("weekdays"),  # at most seven
-        F.max("last_ds").alias("last_ds"),
-        F.max("last_t").cast("double").alias("last_t"),
-        F.sum("n").alias("n"),
-        F.sum("t").cast("decimal(20,0)").alias("t"),
-        F.sum("y").cast("decimal(22,4)").alias("y"),
-        F.sum("tt").cast("decimal(28,0)").alias("tt"),
-        F.sum("ty").alias("ty"),
-        F.sum("yy").alias("yy"),
+    n, u, y = F.col("n"), F.col("u"), F.col("y")
+    times = u.cast("decimal(7,0)")
+    fold = F.greatest(F.lit(0), F.lit(ORIGINS) - F.floor((n - 1 - u) / horizon)).cast("int")
+    hinges = [F.greatest(u - _knot(F.lit(j), n), F.lit(0)).cast("decimal(7,0)") for j in range(1, KNOTS + 1)]
+    parts = periods.withColumns({"season": u % seasons, "fold": fold, "uy": times * y, **{f"h{j}": h * y for j, h in enumerate(hinges)}})
+    one = parts.groupBy("series", "first", "n", "season", "fold").agg(
+        F.sum("y").cast(_SUM).alias("y"),
+        F.sum("uy").cast(_SUM).alias("uy"),
+        F.sum(_number(y) * _number(y)).alias("yy"),
+        F.array(*[F.sum(f"h{j}").cast(_SUM) for j in range(KNOTS)]).alias("hy"),
+        F.collect_list(F.when(F.col("fold") > 0, F.struct("u", _number(y).alias("y")))).alias("tail"),
     )
-    trend = whole.select(
-        "series",
-        "weekdays",
-        "last_ds",
-        "last_t",
-        "n",
-        (F.col("t").cast("double") / F.col("n")).alias("mean_t"),
-        (F.col("y").cast("double") / F.col("n")).alias("mean_y"),
-        _centred("tt", "t", "t").alias("var_t"),
-        _centred("ty", "t", "y").alias("cov"),
-        _centred("yy", "y", "y").alias("var_y"),
-    ).withColumn("slope", F.when(F.col("var_t") > 0, F.col("cov") / F.col("var_t")).otherwise(0.0))
-
-    def effect(w: Column) -> Column:
-        return (w["y"] - F.col("mean_y")) - F.col("slope") * (w["t"] - F.col("mean_t"))
-
-    effects = trend.withColumn(
-        "weekdays",
-        F.transform(
-            "weekdays",
-            lambda w: F.struct(w["wd"].alias("wd"), w["n"].alias("n"), effect(w).alias("effect")),
-        ),
-    )
-    explained = F.aggregate(
-        "weekdays", F.lit(0.0), lambda acc, w: acc + w["n"] * w["effect"] * w["effect"]
-    )
-    left_over = F.col("var_y") - F.col("slope") * F.col("cov") - explained
-    return effects.select(
-        "series",
-        "last_ds",
-        "last_t",
-        "mean_t",
-        "mean_y",
-        "slope",
-        F.map_from_entries(
-            F.transform("weekdays", lambda w: F.struct(w["wd"], w["effect"]))
-        ).alias("effects"),
-        F.when(F.col("n") > 1, F.sqrt(clamp_zero(left_over) / (F.col("n") - 1)))
-        .otherwise(0.0)
-        .alias("spread"),
+    return one.groupBy("series", "first", "n").agg(
+        # At most seven weekdays times the folds; sorted, so that they are added up in one order.
+        F.sort_array(F.collect_list(F.struct(
+            "season", "fold", _number(F.col("y")).alias("y"), _number(F.col("uy")).alias("uy"), "yy", F.transform("hy", _number).alias("hy")
+        ))).alias("sums"),
+        F.flatten(F.collect_list("tail")).alias("tail"),
     )
 
 
+def _triangle(l: Column) -> Column:
+    return l * (l + 1) / 2
+
+
+def _pyramid(l: Column) -> Column:
+    return l * (l + 1) * (2 * l + 1) / 6
+
+
+def _hinges(knots: Column, m: Column) -> Column:
+    """Of each bend over periods 0..m-1: place, periods after it, sum, and product with a centred time."""
+
+    def parts(c: Column) -> Column:
+        after = F.greatest(m - 1 - c, F.lit(0.0))
+        s = _triangle(after)
+        return F.struct(c.alias("c"), after.alias("l"), s.alias("s"), (_pyramid(after) + c * s - (m - 1) / 2 * s).alias("t"))
+
+    return F.transform(knots, parts)
+
+
+def _over(value: Column, by: Column) -> Column:
+    return F.when(by > 0, value / by).otherwise(0.0)
+
+
+def _product(a: Column, b: Column, m: Column) -> Column:
+    """Product of two bends, the earlier one first, after taking off what a straight line explains."""
+    spread = m * (m * m - 1) / 12
+    return _pyramid(b["l"]) + (b["c"] - a["c"]) * b["s"] - a["s"] * b["s"] / m - _over(a["t"] * b["t"], spread)
+
+
+def _descent(z: Column, products: Column, penalty: Column) -> Column:
+    """Coefficients of standardised bends with a penalty on their sizes; bends without a product stay 0."""
+
+    def step(d: Column, i: Column) -> Column:
+        j = (i % KNOTS).cast("int")
+
+        def moved(x: Column, k: Column) -> Column:
+            row = F.get(products, k)
+            own = F.get(row, k)
+            rest = F.get(z, k) - dot(row, d) + own * x
+            return F.when(k != j, x).when(own == 0, 0.0).otherwise(F.signum(rest) * F.greatest(F.abs(rest) - penalty, F.lit(0.0)))
+
+        return F.transform(d, moved)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(SWEEPS * KNOTS - 1)), F.array_repeat(F.lit(0.0), KNOTS), step)
+
+
+def _season_means(m: Column, first: Column, seasons: int, knots: Column, bends: Column) -> Column:
+    """Periods, mean time and mean bend of season ``first``: sums over ``first + 7 k`` in closed form."""
+    last = F.floor((m - 1 - first) / seasons)
+    count = last + 1
+    bend = total(F.zip_with(knots, bends, lambda c, b: b * let(
+        F.greatest(F.floor((c - first) / seasons) + 1, F.lit(0)),
+        lambda k: F.when(last >= k, (last - k + 1) * (first - c) + seasons * (k + last) * (last - k + 1) / 2).otherwise(0.0))))
+    return F.struct(count.alias("n"), (first + seasons * last / 2).alias("t"), _over(bend, count).alias("bend"))
+
+
+def _solve(sums: Column, knots: Column, m: Column, seasons: int) -> Column:
+    """The fit to periods 0..m-1 from their sums: ``base, slope, bends, season``."""
+    add = lambda name: total(F.transform(sums, lambda e: e[name]))
+    y, uy, yy = add("y"), add("uy"), add("yy")
+    hy = F.transform(F.sequence(F.lit(0), F.lit(KNOTS - 1)), lambda j: total(F.transform(sums, lambda e: F.get(e["hy"], j))))
+    spread = m * (m * m - 1) / 12
+    head = F.struct(y.alias("y"), (uy - (m - 1) / 2 * y).alias("t"), yy.alias("yy"))
+
+    def with_head(v: Column) -> Column:
+        noise = F.sqrt(_over(clamp_zero(v["yy"] - v["y"] * v["y"] / m - _over(v["t"] * v["t"], spread)), m - 2))
+        return let(_hinges(knots, m), lambda h: let(_sizes(h), lambda size: with_bends(v, h, size, noise)))
+
+    def _sizes(h: Column) -> Column:
+        # Square root of a bend's own product; 0 where a straight line explains it.
+        def size(x: Column) -> Column:
+            return let(_product(x, x, m), lambda p: F.when(p > NOTHING * _pyramid(x["l"]), F.sqrt(p)).otherwise(0.0))
+
+        return F.transform(h, size)
+
+    def with_bends(v: Column, h: Column, size: Column, noise: Column) -> Column:
+        z = F.transform(h, lambda x, j: _over(F.get(hy, j) - x["s"] * v["y"] / m - _over(x["t"] * v["t"], spread), F.get(size, j)))
+
+        def row(a: Column, i: Column) -> Column:
+            pair = lambda b, j: F.when(i <= j, _product(a, b, m)).otherwise(_product(b, a, m))
+            return F.transform(h, lambda b, j: _over(pair(b, j), F.get(size, i) * F.get(size, j)))
+
+        found = let(z, lambda zs: let(F.transform(h, row), lambda g: _descent(zs, g, PENALTY * noise)))
+        bends = F.zip_with(found, size, _over)
+        return let(bends, lambda b: with_trend(v, h, b))
+
+    def with_trend(v: Column, h: Column, bends: Column) -> Column:
+        slope = _over(v["t"] - total(F.zip_with(h, bends, lambda x, b: x["t"] * b)), spread)
+        bent = total(F.zip_with(h, bends, lambda x, b: x["s"] * b)) / m
+        return let(F.struct(slope.alias("slope"), (v["y"] / m - slope * (m - 1) / 2 - bent).alias("base")), lambda line: with_season(line, bends))
+
+    def with_season(line: Column, bends: Column) -> Column:
+        def effect(s: Column) -> Column:
+            mean = _season_means(m, s, seasons, knots, bends)
+            own = total(F.transform(F.filter(sums, lambda e: e["season"] == s), lambda e: e["y"]))
+            left = let(mean, lambda x: _over(own, x["n"]) - line["base"] - line["slope"] * x["t"] - x["bend"])
+            return F.when(s < m, left).otherwise(0.0)
+
+        # Without a season nothing is left beside the trend.
+        each = F.transform(F.sequence(F.lit(0), F.lit(seasons - 1)), effect) if seasons > 1 else F.array(F.lit(0.0))
+        return F.struct(line["base"].alias("base"), line["slope"].alias("slope"), bends.alias("bends"), each.alias("season"))
+
+    return let(head, with_head)
+
+
+def _value(fit: Column, knots: Column, u: Column, seasons: int) -> Column:
+    """The fit at period ``u``, before values below 0 are lifted."""
+    bent = total(F.zip_with(knots, fit["bends"], lambda c, b: b * F.greatest(u - c, F.lit(0.0))))
+    return fit["base"] + fit["slope"] * u + bent + F.get(fit["season"], (u % seasons).cast("int"))
+
+
+def _fit(series: DataFrame, freq: str, horizon: int, span: tuple[date, date] | None = None) -> DataFrame:
+    """``series, first, n, knots, fit, spread`` of every series."""
+    seasons = 7 if step_days(freq) == 1 else 1
+    n = F.col("n")
+    table = _sums(_periods(series, freq, span), seasons, horizon)
+    knots = F.transform(F.sequence(F.lit(1), F.lit(KNOTS)), lambda j: _number(_knot(j, n)))
+    # The whole series, and what was there 1, 2 ... horizons before its end.
+    backs = F.filter(F.sequence(F.lit(0), F.lit(ORIGINS)), lambda r: (r == 0) | (n - r * horizon >= (ORIGINS - 1) * horizon))
+
+    def fits(k: Column) -> Column:
+        def one(r: Column) -> Column:
+            part = F.filter("sums", lambda e: e["fold"] <= ORIGINS - r)
+            return let(part, lambda e: F.struct(r.alias("back"), _solve(e, k, _number(n - r * horizon), seasons).alias("fit")))
+
+        return F.transform(backs, one)
+
+    def errors(k: Column, made: Column, known: Column) -> Column:
+        def squares(fit: Column, low: Column, high: Column) -> Column:
+            def square(u: Column) -> Column:
+                off = F.coalesce(F.try_element_at(known, u), F.lit(0.0)) - _value(fit, k, _number(u), seasons)
+                return off * off
+
+            return total(F.transform(F.sequence(low, high), square))
+
+        past = F.slice(made, 2, F.lit(ORIGINS))
+        sums = total(F.transform(past, lambda x: squares(x["fit"], n - x["back"] * horizon, n - x["back"] * horizon + horizon - 1)))
+        # A short series has no past forecasts; all its values are at hand then.
+        own = F.when(n > 1, squares(F.get(made, F.lit(0))["fit"], F.lit(0), n - 1) / (n - 1)).otherwise(0.0)
+        return F.sqrt(F.when(F.size(past) > 0, sums / (F.size(past) * horizon)).otherwise(own))
+
+    def whole(k: Column) -> Column:
+        known = F.map_from_entries("tail")
+        return let(fits(k), lambda made: let(known, lambda t: F.struct(
+            k.alias("knots"), F.get(made, F.lit(0))["fit"].alias("fit"), errors(k, made, t).alias("spread"))))
+
+    return table.select("series", "first", "n", let(knots, whole).alias("model")).select("series", "first", "n", "model.*")
+
+
 def forecast(
     series: DataFrame,
     keys: Sequence[str],
@@ -165,27 +256,45 @@ def forecast(
     """``*keys, ds, yhat, yhat_lower, yhat_upper`` for ``horizon`` periods after each series.
 
     ``series`` holds ``*keys, ds, y`` with every period present, or, with the ``span`` of the first and last
-    period of all series, only those with a value. All values are at least 0.
+    period of all series, only those with a value. All values are at least 0. Values are taken with six decimals,
+    up to the bound of sums of money.
     """
     step = step_days(freq)
     # One column for all keys, whose names then cannot meet those of the model.
     owner = F.struct(*keys) if keys else F.lit(0)
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")
-    future = _fit(series.select(owner.alias("series"), "ds", "y"), freq, span).select("*", ahead).withColumn(
-        "ds", F.date_add("last_ds", F.col("k") * step)
-    )
-    season = F.coalesce(F.try_element_at("effects", F.weekday("ds") if step == 1 else F.lit(0)), F.lit(0.0))
-    point = F.col("mean_y") + F.col("slope") * (F.col("last_t") + F.col("k") - F.col("mean_t")) + season
-    margin = F.lit(BAND) * F.col("spread")
-    return future.select(
+    fitted = _fit(series.select(owner.alias("series"), "ds", "y"), freq, horizon, span)
+    ahead = fitted.select("*", F.explode(F.sequence(F.col("n"), F.col("n") + horizon - 1)).alias("u"))
+    point = _value(F.col("fit"), F.col("knots"), _number(F.col("u")), 7 if step == 1 else 1)
+    rows = ahead.select("series", F.date_add("first", F.col("u") * step).alias("ds"), point.alias("point"), (BAND * F.col("spread")).alias("margin"))
+    return rows.select(
         *[F.col("series")[k].alias(k) for k in keys],
         "ds",
-        clamp_zero(point).alias("yhat"),
-        clamp_zero(point - margin).alias("yhat_lower"),
-        clamp_zero(point + margin).alias("yhat_upper"),
+        clamp_zero("point").alias("yhat"),
+        clamp_zero(F.col("point") - F.col("margin")).alias("yhat_lower"),
+        clamp_zero(F.col("point") + F.col("margin")).alias("yhat_upper"),
     )
 
 
+def coverage(series: DataFrame, keys: Sequence[str], horizon: int, freq: str, span: tuple[date, date]) -> DataFrame:
+    """``*keys, periods, inside``: how many of the last ``horizon`` periods lie inside the band forecast without them.
+
+    ``series`` holds the periods with a value; the others of ``span`` are 0.
+    """
+    step = step_days(freq)
+    cut = F.date_sub(F.lit(span[1]), (horizon - 1) * step)
+    end = span[1].fromordinal(span[1].toordinal() - horizon * step)
+    if end < span[0]:
+        raise ValueError("The series is no longer than the horizon")
+    made = forecast(series.filter(F.col("ds") < cut), keys, horizon, freq, (span[0], end))
+    held = series.filter(F.col("ds") >= cut).select(*[F.col(k).alias(f"held_{k}") for k in keys], F.col("ds").alias("held_ds"), _number(F.col("y")).alias("y"))
+    same = F.col("ds") == F.col("held_ds")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"held_{k}"))
+    known = F.coalesce("y", F.lit(0.0))
+    inside = F.count_if((known >= F.col("yhat_lower")) & (known <= F.col("yhat_upper")))
+    return made.join(held, same, "left").groupBy(*keys).agg(F.count(F.lit(1)).alias("periods"), inside.alias("inside"))
+
+
 def forecast_consumption(
     series: DataFrame, horizon: int = 30, freq: str = "D", span: tuple[date, date] | None = None
 ) -> DataFrame:

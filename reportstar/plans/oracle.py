@@ -6,7 +6,7 @@ what the parsers must give back and repeats none of their work.
 
 from __future__ import annotations
 
-from reportstar.operators.forecast import BAND
+from reportstar.operators.forecast import BAND, KNOTS, NOTHING, ORIGINS, PENALTY, SWEEPS
 from reportstar.plans.raw_views import COMPUTER
 
 
@@ -111,7 +111,7 @@ ALL_FACTS = (FACT_CASH, FACT_SESSIONS, FACT_STOCK, FACT_MEMBERS)
 
 def _with(*parts: str) -> str:
     *ctes, body = parts
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body
 
 
 # Rows of the printed grid, by order key.
@@ -167,30 +167,79 @@ series AS (SELECT f.* FROM filled f JOIN periods p USING (item_name) WHERE nonze
 
 
 def _model(name: str, source: str, key: str, horizon: int, freq: str) -> str:
-    """Residual form of the estimator: fit a line, average what is left per weekday."""
-    days = 1 if freq == "D" else 7
-    weekday = "isodow(ds)" if freq == "D" else "0"
-    return f"""{name}_t AS (
-  SELECT {key} AS k, ds, y, {weekday} AS wd,
-    datediff('day', min(ds) OVER (PARTITION BY {key}), ds) // {days} AS t FROM {source}),
+    """The estimator row by row: bends as columns, what a line explains taken off by regression, residuals averaged."""
+    days, seasons = (1, 7) if freq == "D" else (7, 1)
+    far = f"{ORIGINS - 1} * {horizon}"
+    effect = "avg(rest)" if seasons > 1 else "0.0"
+    zeros = ", ".join(["0.0"] * KNOTS)
+    moved = ", ".join(
+        f"CASE WHEN i % {KNOTS} <> {j} THEN d[{j + 1}] WHEN g[{j + 1}][{j + 1}] = 0 THEN 0.0 ELSE "
+        f"sign(z[{j + 1}] - list_dot_product(g[{j + 1}], d) + d[{j + 1}]) * "
+        f"greatest(abs(z[{j + 1}] - list_dot_product(g[{j + 1}], d) + d[{j + 1}]) - penalty, 0.0) END"
+        for j in range(KNOTS)
+    )
+    return f"""{name}_n AS (SELECT {key} AS k, count(*) AS n, min(ds) AS first FROM {source} GROUP BY 1),
+{name}_t AS (
+  SELECT n.k, n.n, datediff('day', n.first, s.ds) // {days} AS u, CAST(s.y AS DOUBLE) AS y FROM {source} s JOIN {name}_n n ON n.k = {key}),
+{name}_cuts AS (
+  SELECT DISTINCT n, r, n - r * {horizon} AS m FROM {name}_n, generate_series(0, {ORIGINS}) AS g(r)
+  WHERE r = 0 OR n - r * {horizon} >= {far}),
+{name}_knots AS (SELECT DISTINCT n, j, (j * 8 * (n - 1)) // (10 * ({KNOTS} + 1)) AS c FROM {name}_n, generate_series(1, {KNOTS}) AS g(j)),
+{name}_h AS (
+  SELECT c.n, c.r, k.j, u, greatest(u - k.c, 0)::DOUBLE AS h
+  FROM {name}_cuts c JOIN {name}_knots k USING (n), LATERAL (SELECT unnest(range(c.m)) AS u)),
 {name}_line AS (
-  SELECT k, regr_slope(y, t) AS b, regr_intercept(y, t) AS a, max(t) AS last_t, max(ds) AS last_ds
-  FROM {name}_t GROUP BY k),
-{name}_rest AS (SELECT t.k, wd, y - a - b * t AS r FROM {name}_t t JOIN {name}_line l ON t.k = l.k),
-{name}_season AS (SELECT k, wd, avg(r) AS s FROM {name}_rest GROUP BY 1, 2),
+  SELECT n, r, j, coalesce(regr_slope(h, u), 0) AS b, coalesce(regr_intercept(h, u), avg(h)) AS a, sum(h * h) AS hh FROM {name}_h GROUP BY 1, 2, 3),
+{name}_rest AS MATERIALIZED (SELECT n, r, j, u, h - a - b * u AS x FROM {name}_h JOIN {name}_line USING (n, r, j)),
+{name}_size AS MATERIALIZED (
+  SELECT n, r, j, CASE WHEN sum(x * x) > {NOTHING} * any_value(hh) THEN sqrt(sum(x * x)) ELSE 0.0 END AS size
+  FROM {name}_rest JOIN {name}_line USING (n, r, j) GROUP BY 1, 2, 3),
+{name}_pairs AS (
+  SELECT x.n, x.r, x.j, y.j AS i, sum(x.x * y.x) AS p FROM {name}_rest x JOIN {name}_rest y USING (n, r, u) GROUP BY 1, 2, 3, 4),
+{name}_gram AS (
+  SELECT n, r, list(line ORDER BY j) AS g FROM (
+    SELECT n, r, p.j, list(CASE WHEN s.size * t.size = 0 THEN 0.0 WHEN p.j = p.i THEN 1.0 ELSE p.p / (s.size * t.size) END ORDER BY p.i) AS line
+    FROM {name}_pairs p JOIN {name}_size s USING (n, r, j) JOIN (SELECT n, r, j AS i, size FROM {name}_size) t USING (n, r, i)
+    GROUP BY 1, 2, 3) GROUP BY 1, 2),
+{name}_head AS (
+  SELECT t.k, n, c.r, c.m,
+         CASE WHEN c.m > 2 THEN sqrt(greatest(coalesce(regr_syy(y, u) - regr_sxy(y, u) ** 2 / regr_sxx(y, u), 0), 0) / (c.m - 2)) ELSE 0.0 END * {PENALTY} AS penalty
+  FROM {name}_t t JOIN {name}_cuts c USING (n) WHERE t.u < c.m GROUP BY 1, 2, 3, 4),
+{name}_z AS (
+  SELECT k, n, r, list(z ORDER BY j) AS z FROM (
+    SELECT t.k, n, x.r, x.j, CASE WHEN any_value(s.size) = 0 THEN 0.0 ELSE sum(x.x * t.y) / any_value(s.size) END AS z
+    FROM {name}_t t JOIN {name}_rest x USING (n, u) JOIN {name}_size s USING (n, r, j)
+    GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
+{name}_descent(k, n, r, z, g, penalty, i, d) AS (
+  SELECT k, n, r, z, g, penalty, 0, [{zeros}]::DOUBLE[] FROM {name}_head JOIN {name}_z USING (k, n, r) JOIN {name}_gram USING (n, r)
+  UNION ALL
+  SELECT k, n, r, z, g, penalty, i + 1, [{moved}] FROM {name}_descent WHERE i < {SWEEPS * KNOTS}),
+{name}_bends AS MATERIALIZED (
+  SELECT k, n, r, s.j, CASE WHEN s.size = 0 THEN 0.0 ELSE d[s.j] / s.size END AS b
+  FROM {name}_descent JOIN {name}_size s USING (n, r) WHERE i = {SWEEPS * KNOTS}),
+{name}_places AS (
+  SELECT k, n, r, m, u FROM {name}_n JOIN {name}_cuts c USING (n), LATERAL (SELECT unnest(range(c.m + {horizon})) AS u)),
+{name}_bent AS (
+  SELECT k, r, u, sum(b * greatest(u - c, 0)) AS bent FROM {name}_places JOIN {name}_bends USING (k, n, r) JOIN {name}_knots USING (n, j) GROUP BY 1, 2, 3),
+{name}_all AS MATERIALIZED (
+  SELECT k, n, r, m, u, bent, y FROM {name}_places JOIN {name}_bent USING (k, r, u) LEFT JOIN {name}_t USING (k, n, u)),
+{name}_trend AS (
+  SELECT k, r, coalesce(regr_slope(y - bent, u), 0) AS b, coalesce(regr_intercept(y - bent, u), avg(y - bent)) AS a FROM {name}_all WHERE u < m GROUP BY 1, 2),
+{name}_season AS (
+  SELECT k, r, s, {effect} AS e FROM (
+    SELECT k, r, u % {seasons} AS s, y - bent - a - b * u AS rest FROM {name}_all JOIN {name}_trend USING (k, r) WHERE u < m)
+  GROUP BY 1, 2, 3),
+{name}_made AS MATERIALIZED (
+  SELECT k, n, r, m, u, y, a + b * u + bent + coalesce(e, 0) AS p
+  FROM (SELECT *, u % {seasons} AS s FROM {name}_all) JOIN {name}_trend USING (k, r) LEFT JOIN {name}_season USING (k, r, s)),
 {name}_spread AS (
-  SELECT r.k, stddev_samp(r - s) AS sd FROM {name}_rest r JOIN {name}_season s ON r.k = s.k AND r.wd = s.wd
-  GROUP BY 1),
-{name}_ahead AS (
-  SELECT k, a, b, last_t + h AS t, CAST(last_ds + CAST(h * {days} AS INTEGER) AS DATE) AS ds
-  FROM {name}_line CROSS JOIN (SELECT unnest(generate_series(1, {horizon})) AS h)),
-{name}_point AS (
-  SELECT p.k, ds, a + b * t + coalesce(s, 0) AS yhat, coalesce(sd, 0) * {BAND} AS m
-  FROM {name}_ahead p LEFT JOIN {name}_season s ON s.k = p.k AND s.wd = {weekday}
-  LEFT JOIN {name}_spread d ON d.k = p.k),
+  SELECT k, sqrt(coalesce(avg((y - p) ** 2) FILTER (r > 0 AND u >= m),
+                          CASE WHEN any_value(n) > 1 THEN sum((y - p) ** 2) FILTER (r = 0 AND u < m) / (any_value(n) - 1) ELSE 0 END)) AS sd
+  FROM {name}_made GROUP BY 1),
 {name} AS (
-  SELECT k, ds, greatest(yhat, 0) AS yhat, greatest(yhat - m, 0) AS low, greatest(yhat + m, 0) AS high
-  FROM {name}_point)"""
+  SELECT k, CAST(first + CAST(u * {days} AS INTEGER) AS DATE) AS ds, greatest(p, 0) AS yhat, greatest(p - sd * {BAND}, 0) AS low,
+         greatest(p + sd * {BAND}, 0) AS high
+  FROM {name}_made JOIN {name}_spread USING (k) JOIN {name}_n USING (k, n) WHERE r = 0 AND u >= m)"""
 
 
 PRICES = """prices AS (
