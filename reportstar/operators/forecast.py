@@ -6,10 +6,10 @@ four fifths of its periods. The bends are found from normal equations with a pen
 weekday is the season. The band comes from forecasts that the series would have got at up to ``ORIGINS`` earlier
 dates: the root mean square of their errors, times a fixed 80 % factor.
 
-All of it is solved from sums per series, weekday and origin, which are reduced before the shuffle. The earlier
-forecasts use the same sums up to their date, so no row is read for them again. The products of the trend's parts
-depend on the number of periods alone and come from closed formulas. Bends, weekdays and origins are few and fixed: a series
-is one narrow row, whatever its length; only the periods of the past forecasts travel along to be compared.
+All of it is solved from sums per series, weekday and origin, which Spark reduces before the shuffle. The earlier
+forecasts use the same sums up to their date, so no row is read for them again. Bends, weekdays and origins are few and fixed: a
+series is one narrow row, whatever its length, and many rows are solved together; only the periods of the past forecasts travel
+along to be compared.
 
 It keeps the contract of the forecast tables (columns, number of rows, values of at least zero), not the numbers of
 any particular forecasting library.
@@ -17,13 +17,15 @@ any particular forecasting library.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reportstar.functions.arrays import dot, let, total
 from reportstar.functions.numbers import MONEY, clamp_zero
 from reportstar.operators.explore import top
 from reportstar.operators.lookup import attach
@@ -33,19 +35,18 @@ from reportstar.operators.series import (
     revenue_series,
     step_days,
 )
+from reportstar.operators.trend import KNOTS, Sums, solve
+from reportstar.workers import reach_workers
 
 # Fixed value: two-sided 80 % quantile of the normal distribution.
 BAND = 1.2816
-#: Places where a trend may bend, and rounds over them.
-KNOTS, SWEEPS = 10, 50
 #: Forecasts of the past that a band is measured on. The first has at least ``ORIGINS - 1`` horizons before it.
 ORIGINS = 3
-#: The penalty, in units of the noise: what the largest of so many chance bends reaches.
-PENALTY = 2.1460
-#: A bend whose place has no more than this share of its own product left beside a straight line is none.
-NOTHING = 1e-9
 TOP_ITEMS = 10
 
+#: Series that are solved together.
+TOGETHER = 1024
+
 _SUM = "decimal(38,6)"
 
 
@@ -66,11 +67,6 @@ def _periods(series: DataFrame, freq: str, span: tuple[date, date] | None) -> Da
     return series.select("series", first.alias("first"), n.alias("n"), u.alias("u"), F.col("y").cast(MONEY).alias("y"))
 
 
-def _knot(j: Column, n: Column) -> Column:
-    """Period at which the trend may bend for the ``j``-th time."""
-    return F.floor(j * 8 * (n - 1) / (10 * (KNOTS + 1))).cast("int")
-
-
 def _sums(periods: DataFrame, seasons: int, horizon: int) -> DataFrame:
     """One row per series: ``sums`` per season and fold (part of the calendar between origins), and the ``tail`` of values.
 
@@ -79,8 +75,9 @@ def _sums(periods: DataFrame, seasons: int, horizon: int) -> DataFrame:
     n, u, y = F.col("n"), F.col("u"), F.col("y")
     times = u.cast("decimal(7,0)")
     fold = F.greatest(F.lit(0), F.lit(ORIGINS) - F.floor((n - 1 - u) / horizon)).cast("int")
-    hinges = [F.greatest(u - _knot(F.lit(j), n), F.lit(0)).cast("decimal(7,0)") for j in range(1, KNOTS + 1)]
-    parts = periods.withColumns({"season": u % seasons, "fold": fold, "uy": times * y, **{f"h{j}": h * y for j, h in enumerate(hinges)}})
+    # Bends where ``trend.knots`` has them.
+    hinges = [F.expr(f"cast(greatest(u - ({8 * j} * (n - 1)) div {10 * (KNOTS + 1)}, 0) as decimal(7,0)) * y") for j in range(1, KNOTS + 1)]
+    parts = periods.withColumns({"season": u % seasons, "fold": fold, "uy": times * y, **{f"h{j}": h for j, h in enumerate(hinges)}})
     one = parts.groupBy("series", "first", "n", "season", "fold").agg(
         F.sum("y").cast(_SUM).alias("y"),
         F.sum("uy").cast(_SUM).alias("uy"),
@@ -97,153 +94,75 @@ def _sums(periods: DataFrame, seasons: int, horizon: int) -> DataFrame:
     )
 
 
-def _triangle(l: Column) -> Column:
-    return l * (l + 1) / 2
-
-
-def _pyramid(l: Column) -> Column:
-    return l * (l + 1) * (2 * l + 1) / 6
-
-
-def _hinges(knots: Column, m: Column) -> Column:
-    """Of each bend over periods 0..m-1: place, periods after it, sum, and product with a centred time."""
-
-    def parts(c: Column) -> Column:
-        after = F.greatest(m - 1 - c, F.lit(0.0))
-        s = _triangle(after)
-        return F.struct(c.alias("c"), after.alias("l"), s.alias("s"), (_pyramid(after) + c * s - (m - 1) / 2 * s).alias("t"))
-
-    return F.transform(knots, parts)
-
-
-def _over(value: Column, by: Column) -> Column:
-    return F.when(by > 0, value / by).otherwise(0.0)
-
-
-def _product(a: Column, b: Column, m: Column) -> Column:
-    """Product of two bends, the earlier one first, after taking off what a straight line explains."""
-    spread = m * (m * m - 1) / 12
-    return _pyramid(b["l"]) + (b["c"] - a["c"]) * b["s"] - a["s"] * b["s"] / m - _over(a["t"] * b["t"], spread)
-
-
-def _descent(z: Column, products: Column, penalty: Column) -> Column:
-    """Coefficients of standardised bends with a penalty on their sizes; bends without a product stay 0."""
-
-    def step(d: Column, i: Column) -> Column:
-        j = (i % KNOTS).cast("int")
-
-        def moved(x: Column, k: Column) -> Column:
-            row = F.get(products, k)
-            own = F.get(row, k)
-            rest = F.get(z, k) - dot(row, d) + own * x
-            return F.when(k != j, x).when(own == 0, 0.0).otherwise(F.signum(rest) * F.greatest(F.abs(rest) - penalty, F.lit(0.0)))
-
-        return F.transform(d, moved)
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(SWEEPS * KNOTS - 1)), F.array_repeat(F.lit(0.0), KNOTS), step)
-
-
-def _season_means(m: Column, first: Column, seasons: int, knots: Column, bends: Column) -> Column:
-    """Periods, mean time and mean bend of season ``first``: sums over ``first + 7 k`` in closed form."""
-    last = F.floor((m - 1 - first) / seasons)
-    count = last + 1
-    bend = total(F.zip_with(knots, bends, lambda c, b: b * let(
-        F.greatest(F.floor((c - first) / seasons) + 1, F.lit(0)),
-        lambda k: F.when(last >= k, (last - k + 1) * (first - c) + seasons * (k + last) * (last - k + 1) / 2).otherwise(0.0))))
-    return F.struct(count.alias("n"), (first + seasons * last / 2).alias("t"), _over(bend, count).alias("bend"))
-
-
-def _solve(sums: Column, knots: Column, m: Column, seasons: int) -> Column:
-    """The fit to periods 0..m-1 from their sums: ``base, slope, bends, season``."""
-    add = lambda name: total(F.transform(sums, lambda e: e[name]))
-    y, uy, yy = add("y"), add("uy"), add("yy")
-    hy = F.transform(F.sequence(F.lit(0), F.lit(KNOTS - 1)), lambda j: total(F.transform(sums, lambda e: F.get(e["hy"], j))))
-    spread = m * (m * m - 1) / 12
-    head = F.struct(y.alias("y"), (uy - (m - 1) / 2 * y).alias("t"), yy.alias("yy"))
-
-    def with_head(v: Column) -> Column:
-        noise = F.sqrt(_over(clamp_zero(v["yy"] - v["y"] * v["y"] / m - _over(v["t"] * v["t"], spread)), m - 2))
-        return let(_hinges(knots, m), lambda h: let(_sizes(h), lambda size: with_bends(v, h, size, noise)))
-
-    def _sizes(h: Column) -> Column:
-        # Square root of a bend's own product; 0 where a straight line explains it.
-        def size(x: Column) -> Column:
-            return let(_product(x, x, m), lambda p: F.when(p > NOTHING * _pyramid(x["l"]), F.sqrt(p)).otherwise(0.0))
-
-        return F.transform(h, size)
-
-    def with_bends(v: Column, h: Column, size: Column, noise: Column) -> Column:
-        z = F.transform(h, lambda x, j: _over(F.get(hy, j) - x["s"] * v["y"] / m - _over(x["t"] * v["t"], spread), F.get(size, j)))
-
-        def row(a: Column, i: Column) -> Column:
-            pair = lambda b, j: F.when(i <= j, _product(a, b, m)).otherwise(_product(b, a, m))
-            return F.transform(h, lambda b, j: _over(pair(b, j), F.get(size, i) * F.get(size, j)))
-
-        found = let(z, lambda zs: let(F.transform(h, row), lambda g: _descent(zs, g, PENALTY * noise)))
-        bends = F.zip_with(found, size, _over)
-        return let(bends, lambda b: with_trend(v, h, b))
-
-    def with_trend(v: Column, h: Column, bends: Column) -> Column:
-        slope = _over(v["t"] - total(F.zip_with(h, bends, lambda x, b: x["t"] * b)), spread)
-        bent = total(F.zip_with(h, bends, lambda x, b: x["s"] * b)) / m
-        return let(F.struct(slope.alias("slope"), (v["y"] / m - slope * (m - 1) / 2 - bent).alias("base")), lambda line: with_season(line, bends))
-
-    def with_season(line: Column, bends: Column) -> Column:
-        def effect(s: Column) -> Column:
-            mean = _season_means(m, s, seasons, knots, bends)
-            own = total(F.transform(F.filter(sums, lambda e: e["season"] == s), lambda e: e["y"]))
-            left = let(mean, lambda x: _over(own, x["n"]) - line["base"] - line["slope"] * x["t"] - x["bend"])
-            return F.when(s < m, left).otherwise(0.0)
-
-        # Without a season nothing is left beside the trend.
-        each = F.transform(F.sequence(F.lit(0), F.lit(seasons - 1)), effect) if seasons > 1 else F.array(F.lit(0.0))
-        return F.struct(line["base"].alias("base"), line["slope"].alias("slope"), bends.alias("bends"), each.alias("season"))
-
-    return let(head, with_head)
-
-
-def _value(fit: Column, knots: Column, u: Column, seasons: int) -> Column:
-    """The fit at period ``u``, before values below 0 are lifted."""
-    bent = total(F.zip_with(knots, fit["bends"], lambda c, b: b * F.greatest(u - c, F.lit(0.0))))
-    return fit["base"] + fit["slope"] * u + bent + F.get(fit["season"], (u % seasons).cast("int"))
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
+    """Row number and value of every element of a list column."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(column)), sizes), column.flatten()
+
+
+def _numbers(elements: pa.StructArray, name: str) -> np.ndarray:
+    return elements.field(name).to_numpy(zero_copy_only=False)
+
+
+def _predict(batch: pa.RecordBatch, seasons: int, horizon: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the next ``horizon`` periods of each series, and the root mean square error of its past forecasts."""
+    n = batch.column("n").to_numpy().astype(np.int64)
+    count, folds = len(n), ORIGINS + 1
+    row, e = _flat(batch.column("sums"))
+    at = row, _numbers(e, "fold")
+    per = {c: np.zeros((count, folds)) for c in ("y", "uy", "yy")}
+    for c, table in per.items():
+        np.add.at(table, at, _numbers(e, c))
+    hy = np.zeros((count, folds, KNOTS))
+    np.add.at(hy, at, e.field("hy").flatten().to_numpy().reshape(-1, KNOTS))
+    season = np.zeros((count, folds, seasons))
+    np.add.at(season, (*at, _numbers(e, "season")), _numbers(e, "y"))
+    row, e = _flat(batch.column("tail"))
+    tail = np.zeros((count, ORIGINS * horizon))
+    tail[row, _numbers(e, "u") - n[row] + ORIGINS * horizon] = _numbers(e, "y")
+
+    def fit(back: int, rows: np.ndarray):
+        # Folds are in the order of the calendar: what was known then is a prefix of them.
+        upto = folds - back
+        part = (x[rows, :upto].sum(1) for x in (*per.values(), hy, season))
+        return solve(Sums(*part), n[rows], n[rows] - back * horizon)
+
+    everyone = np.arange(count)
+    whole, ahead = fit(0, everyone), np.arange(horizon)[None, :]
+    squares, periods = np.zeros(count), np.zeros(count)
+    for back in range(1, ORIGINS + 1):
+        rows = np.flatnonzero(n - back * horizon >= (ORIGINS - 1) * horizon)
+        known = tail[rows, (ORIGINS - back) * horizon : (ORIGINS - back + 1) * horizon]
+        off = known - fit(back, rows).at((n[rows] - back * horizon)[:, None] + ahead)
+        squares[rows] += (off * off).sum(1)
+        periods[rows] += horizon
+    # A series without past forecasts is short enough for all its values to be at hand.
+    u = n[:, None] - ORIGINS * horizon + np.arange(ORIGINS * horizon)[None, :]
+    off = np.where(u >= 0, tail - whole.at(np.maximum(u, 0)), 0.0)
+    squares = np.where(periods > 0, squares, (off * off).sum(1))
+    periods = np.where(periods > 0, periods, np.maximum(n - 1, 1))
+    spread = np.where((n == 1) & (periods == 1), 0.0, np.sqrt(squares / periods))
+    return whole.at(n[:, None] + ahead), spread
 
 
 def _fit(series: DataFrame, freq: str, horizon: int, span: tuple[date, date] | None = None) -> DataFrame:
-    """``series, first, n, knots, fit, spread`` of every series."""
+    """``series, first, n, point, spread`` of every series; ``point`` lists its next ``horizon`` values."""
     seasons = 7 if step_days(freq) == 1 else 1
-    n = F.col("n")
     table = _sums(_periods(series, freq, span), seasons, horizon)
-    knots = F.transform(F.sequence(F.lit(1), F.lit(KNOTS)), lambda j: _number(_knot(j, n)))
-    # The whole series, and what was there 1, 2 ... horizons before its end.
-    backs = F.filter(F.sequence(F.lit(0), F.lit(ORIGINS)), lambda r: (r == 0) | (n - r * horizon >= (ORIGINS - 1) * horizon))
-
-    def fits(k: Column) -> Column:
-        def one(r: Column) -> Column:
-            part = F.filter("sums", lambda e: e["fold"] <= ORIGINS - r)
-            return let(part, lambda e: F.struct(r.alias("back"), _solve(e, k, _number(n - r * horizon), seasons).alias("fit")))
-
-        return F.transform(backs, one)
-
-    def errors(k: Column, made: Column, known: Column) -> Column:
-        def squares(fit: Column, low: Column, high: Column) -> Column:
-            def square(u: Column) -> Column:
-                off = F.coalesce(F.try_element_at(known, u), F.lit(0.0)) - _value(fit, k, _number(u), seasons)
-                return off * off
-
-            return total(F.transform(F.sequence(low, high), square))
-
-        past = F.slice(made, 2, F.lit(ORIGINS))
-        sums = total(F.transform(past, lambda x: squares(x["fit"], n - x["back"] * horizon, n - x["back"] * horizon + horizon - 1)))
-        # A short series has no past forecasts; all its values are at hand then.
-        own = F.when(n > 1, squares(F.get(made, F.lit(0))["fit"], F.lit(0), n - 1) / (n - 1)).otherwise(0.0)
-        return F.sqrt(F.when(F.size(past) > 0, sums / (F.size(past) * horizon)).otherwise(own))
+    kept = [table.schema[c] for c in ("series", "first", "n")]
+    schema = T.StructType([*kept, T.StructField("point", T.ArrayType(T.DoubleType())), T.StructField("spread", T.DoubleType())])
 
-    def whole(k: Column) -> Column:
-        known = F.map_from_entries("tail")
-        return let(fits(k), lambda made: let(known, lambda t: F.struct(
-            k.alias("knots"), F.get(made, F.lit(0))["fit"].alias("fit"), errors(k, made, t).alias("spread"))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(first, TOGETHER)
+                point, spread = _predict(part, seasons, horizon)
+                lists = pa.ListArray.from_arrays(np.arange(len(point) + 1, dtype=np.int32) * horizon, pa.array(point.ravel()))
+                keys = [part.column(f.name) for f in kept]
+                yield pa.RecordBatch.from_arrays([*keys, lists, pa.array(spread)], names=schema.names)
 
-    return table.select("series", "first", "n", let(knots, whole).alias("model")).select("series", "first", "n", "model.*")
+    reach_workers(series.sparkSession)
+    return table.mapInArrow(run, schema)
 
 
 def forecast(
@@ -263,9 +182,8 @@ def forecast(
     # One column for all keys, whose names then cannot meet those of the model.
     owner = F.struct(*keys) if keys else F.lit(0)
     fitted = _fit(series.select(owner.alias("series"), "ds", "y"), freq, horizon, span)
-    ahead = fitted.select("*", F.explode(F.sequence(F.col("n"), F.col("n") + horizon - 1)).alias("u"))
-    point = _value(F.col("fit"), F.col("knots"), _number(F.col("u")), 7 if step == 1 else 1)
-    rows = ahead.select("series", F.date_add("first", F.col("u") * step).alias("ds"), point.alias("point"), (BAND * F.col("spread")).alias("margin"))
+    ahead = fitted.select("series", "first", "n", "spread", F.posexplode("point").alias("k", "point"))
+    rows = ahead.select("series", F.date_add("first", (F.col("n") + F.col("k")) * step).alias("ds"), "point", (BAND * F.col("spread")).alias("margin"))
     return rows.select(
         *[F.col("series")[k].alias(k) for k in keys],
         "ds",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -822,6 +823,39 @@ def q_forecast_weekly(spark, sf_dir):
     return _rounded(fc.forecast_consumption(per_item, 8, "W"))
 
 
+def _order_days(spark, sf_dir) -> tuple[DataFrame, tuple[date, date]]:
+    """Orders per priority and day, as periods with a value, and the first and last day."""
+    days = v.table(spark, sf_dir, "orders").groupBy("o_orderpriority", day("o_orderdate").alias("ds")).agg(F.count(F.lit(1)).alias("orders"))
+    days = stage(days, "order_days")
+    return days, tuple(days.agg(F.min("ds"), F.max("ds")).first())
+
+
+@query
+def q_forecast_trend(spark, sf_dir):
+    """Orders per priority whose number rises from a day of its own on; the forecast follows the bend."""
+    days, span = _order_days(spark, sf_dir)
+    after = F.greatest(F.datediff("ds", F.lit(span[0])) - 400 * F.left("o_orderpriority", F.lit(1)).cast("int"), F.lit(0))
+    bent = days.select("o_orderpriority", "ds", (F.col("orders") * 10 + after).alias("y"))
+    return _rounded(fc.forecast(bent, ["o_orderpriority"], 30, "D", span))
+
+
+@query
+def q_forecast_edges(spark, sf_dir):
+    """Values near the bound of sums of money, and values of a millionth."""
+    days, span = _order_days(spark, sf_dir)
+    scales = F.inline(F.array(*[F.struct(F.lit(n).alias("scale"), F.lit(f).alias("factor")) for n, f in (("large", 1e20), ("small", 1e-6))]))
+    scaled = days.select("ds", "orders", "o_orderpriority", scales).withColumn("y", F.col("orders") * F.col("factor"))
+    made = fc.forecast(scaled, ["scale", "factor", "o_orderpriority"], 7, "D", span)
+    return made.select("scale", "o_orderpriority", "ds", *[F.round(F.col(c) / F.col("factor"), 4).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+
+
+@query
+def q_forecast_coverage(spark, sf_dir):
+    """How many of the last 30 days of each item lie inside the band forecast without them."""
+    per_item, _, low, high = series.item_periods(*_stock_and_items(spark, sf_dir))
+    return fc.coverage(per_item, ["item_name"], 30, "D", (low, high))
+
+
 @query
 def q_forecast_summary(spark, sf_dir):
     stock, items = _stock_and_items(spark, sf_dir, priced=True)

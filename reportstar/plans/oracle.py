@@ -6,7 +6,8 @@ what the parsers must give back and repeats none of their work.
 
 from __future__ import annotations
 
-from reportstar.operators.forecast import BAND, KNOTS, NOTHING, ORIGINS, PENALTY, SWEEPS
+from reportstar.operators.forecast import BAND, ORIGINS
+from reportstar.operators.trend import KNOTS, NOTHING, PENALTY, SWEEPS
 from reportstar.plans.raw_views import COMPUTER
 
 
@@ -246,6 +247,13 @@ PRICES = """prices AS (
   SELECT item_name, CAST(sum(CAST(unit_price_tnd AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_price FROM stock
   WHERE unit_price_tnd > 0 AND item_name IS NOT NULL GROUP BY 1)"""
 
+ORDER_DAYS = """order_days AS (
+  SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS ds, count(*) AS orders FROM orders GROUP BY 1, 2),
+order_calendar AS (SELECT CAST(unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY)) AS DATE) AS ds FROM order_days),
+order_series AS (
+  SELECT o_orderpriority, ds, ds - min(ds) OVER () AS since, coalesce(orders, 0) AS orders, orders IS NOT NULL AS known
+  FROM (SELECT DISTINCT o_orderpriority FROM order_days) CROSS JOIN order_calendar LEFT JOIN order_days USING (o_orderpriority, ds))"""
+
 BOTH_FORECASTS = (
     CASH, REVENUE, STOCK, SOLD, _dense("sold", "D"), PRICES,
     _model("items_fc", "series", "item_name", 30, "D"),
@@ -558,6 +566,31 @@ ORACLE: dict[str, str] = {
         """SELECT ds AS date, k AS item_name, round(yhat, 4) AS predicted_qty, round(low, 4) AS lower_qty,
           round(high, 4) AS upper_qty FROM fc""",
     ),
+    "q_forecast_trend": _with(
+        ORDER_DAYS,
+        """bent AS (
+          SELECT o_orderpriority, ds, CASE WHEN known THEN 10 * orders + greatest(since - 400 * left(o_orderpriority, 1)::INT, 0) ELSE 0 END AS y
+          FROM order_series)""",
+        _model("fc", "bent", "o_orderpriority", 30, "D"),
+        """SELECT k AS o_orderpriority, ds, round(yhat, 4) AS yhat, round(low, 4) AS yhat_lower, round(high, 4) AS yhat_upper FROM fc""",
+    ),
+    "q_forecast_edges": _with(
+        ORDER_DAYS,
+        """scaled AS (
+          SELECT scale || '|' || o_orderpriority AS key, ds, orders * factor AS y
+          FROM order_series, (VALUES ('large', 1e20::DOUBLE), ('small', 1e-6::DOUBLE)) AS f(scale, factor))""",
+        _model("fc", "scaled", "key", 7, "D"),
+        """SELECT split_part(k, '|', 1) AS scale, split_part(k, '|', 2) AS o_orderpriority, ds, round(yhat / f, 4) AS yhat,
+          round(low / f, 4) AS yhat_lower, round(high / f, 4) AS yhat_upper
+        FROM (SELECT *, CASE WHEN starts_with(k, 'large') THEN 1e20::DOUBLE ELSE 1e-6::DOUBLE END AS f FROM fc)""",
+    ),
+    "q_forecast_coverage": _with(
+        STOCK, SOLD, _dense("sold", "D"),
+        "early AS (SELECT * FROM series WHERE ds <= (SELECT max(ds) FROM series) - 30)",
+        _model("fc", "early", "item_name", 30, "D"),
+        """SELECT s.item_name, count(*) AS periods, count(*) FILTER (y >= low AND y <= high) AS inside
+        FROM fc JOIN series s ON s.item_name = fc.k AND s.ds = fc.ds GROUP BY 1""",
+    ),
     "q_forecast_summary": _with(
         *BOTH_FORECASTS,
         "best AS (SELECT k AS entry, sum(yhat) AS value FROM items_fc GROUP BY 1 ORDER BY value DESC, entry LIMIT 10)",

@@ -7,11 +7,14 @@ import pytest
 from reportstar.operators import series
 from reportstar.operators.forecast import (
     BAND,
+    ORIGINS,
+    coverage,
     derived_revenue,
     forecast,
     forecast_summary,
     forecast_tables,
 )
+from reportstar.operators.trend import PENALTY, SWEEPS, knots
 
 DAY0 = dt.datetime(2026, 1, 1, 12)
 
@@ -87,21 +90,49 @@ def test_derived_revenue(spark, rows):
     assert rows(derived_revenue(c, p)) == [("d1", 3.0), ("d2", 0.0)]
 
 
+def lasso(x, y, penalty):
+    """Coordinate descent over the columns of ``x``, which are standardised."""
+    d = np.zeros(x.shape[1])
+    for _ in range(SWEEPS):
+        for j in range(len(d)):
+            if x[:, j].any():
+                rest = x[:, j] @ (y - x @ d) + d[j]
+                d[j] = np.sign(rest) * max(abs(rest) - penalty, 0)
+    return d
+
+
+def brute_fit(ys, n, step, ahead):
+    """Values of the next periods: bends by lasso beside a line, then means per weekday."""
+    m, u = len(ys), np.arange(len(ys) + ahead, dtype=float)
+    bends = np.maximum(u[:, None] - knots(np.array([n]))[0], 0)
+    line = np.stack([np.ones(m), u[:m]], 1)
+    off = lambda x: x - line @ np.linalg.lstsq(line, x, rcond=None)[0]
+    x = off(bends[:m])
+    size = np.sqrt((x * x).sum(0))
+    size[size**2 <= 1e-6 * (bends[:m] ** 2).sum(0)] = 0
+    x = np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+    noise = np.sqrt((off(ys) ** 2).sum() / (m - 2)) if m > 2 else 0.0
+    d = np.divide(lasso(x, off(ys), PENALTY * noise), size, out=np.zeros(len(size)), where=size > 0)
+    bent = bends @ d
+    trend = np.stack([np.ones(len(u)), u], 1) @ np.linalg.lstsq(line, ys - bent[:m], rcond=None)[0] + bent
+    if step == 7:
+        return trend
+    rest = ys - trend[:m]
+    return trend + np.array([rest[k % 7 :: 7].mean() if k % 7 < m else 0.0 for k in range(len(u))])
+
+
 def brute(ys, first, horizon, step):
-    """The estimator written out with numpy."""
-    t = np.arange(len(ys), dtype=float)
-    b, a = np.polyfit(t, ys, 1) if len(ys) > 1 else (0.0, ys[0])
-    days = [first + dt.timedelta(days=step * i) for i in range(len(ys) + horizon)]
-    wd = [d.weekday() if step == 1 else 0 for d in days]
-    rest = np.array(ys) - a - b * t
-    season = {w: np.mean([r for r, x in zip(rest, wd) if x == w]) for w in set(wd[:len(ys)])}
-    final = [r - season[x] for r, x in zip(rest, wd)]
-    sd = np.std(final, ddof=1) if len(ys) > 1 else 0.0
-    out = []
-    for i in range(len(ys), len(ys) + horizon):
-        y = a + b * i + season.get(wd[i], 0.0)
-        out.append((days[i], *[max(v, 0.0) for v in (y, y - BAND * sd, y + BAND * sd)]))
-    return out
+    """The estimator written out with numpy: the same fit for the whole series and for its past."""
+    ys, n = np.array(ys), len(ys)
+    made = brute_fit(ys, n, step, horizon)
+    errors = []
+    for back in range(1, ORIGINS + 1):
+        m = n - back * horizon
+        if m >= (ORIGINS - 1) * horizon:
+            errors += list(ys[m : m + horizon] - brute_fit(ys[:m], n, step, horizon)[m:])
+    sd = np.sqrt(np.mean(np.square(errors))) if errors else np.sqrt(((ys - made[:n]) ** 2).sum() / (n - 1)) if n > 1 else 0.0
+    days = [first + dt.timedelta(days=step * i) for i in range(n + horizon)]
+    return [(days[i], *[max(v, 0.0) for v in (made[i], made[i] - BAND * sd, made[i] + BAND * sd)]) for i in range(n, n + horizon)]
 
 
 @pytest.mark.parametrize("freq, step", [("D", 1), ("W", 7)])
@@ -111,6 +142,8 @@ def test_forecast_agrees_with_the_written_out_estimator(spark, freq, step):
     made = {
         "up": [i * 3 + 10 * (i % 7 == 0) + rng.random() for i in range(60)],
         "down": [500 - i * 9.5 for i in range(60)],
+        "bend": [100 + 2 * max(i - 60, 0) + rng.random() for i in range(140)],
+        "gone": [max(200.0 - 3 * i, 0.0) + 5 * (i % 7) for i in range(95)],
         "flat": [7.0] * 20,
         "one": [5.0],
         "short": [1.0, 4.0, 2.0],
@@ -125,7 +158,42 @@ def test_forecast_agrees_with_the_written_out_estimator(spark, freq, step):
     for k, ys in made.items():
         want = brute(ys, first, 10, step)
         assert [g[0] for g in got[k]] == [w[0] for w in want]
-        assert np.allclose([g[1:] for g in got[k]], [w[1:] for w in want], atol=1e-4)
+        assert np.allclose([g[1:] for g in got[k]], [w[1:] for w in want], rtol=1e-6, atol=1e-4), k
+
+
+def test_a_forecast_follows_the_last_bend(spark):
+    rng = random.Random(4)
+    rows = [("k", DAY0.date() + dt.timedelta(days=i), 50 + 3.0 * max(i - 200, 0) + rng.gauss(0, 2)) for i in range(365)]
+    rows += [("noise", DAY0.date() + dt.timedelta(days=i), 100 + rng.gauss(0, 5)) for i in range(365)]
+    span = (DAY0.date(), DAY0.date() + dt.timedelta(days=364))
+    got = forecast(spark.createDataFrame(rows, "k string, ds date, y double"), ["k"], 30, "D", span).orderBy("k", "ds").collect()
+    last = [r for r in got if r["k"] == "k"][-1]
+    assert abs(last["yhat"] - (50 + 3.0 * (394 - 200))) < 30  # a straight line is off by some 150
+    assert all(abs(r["yhat"] - 100) < 5 for r in got if r["k"] == "noise")
+
+
+def test_values_of_every_size(spark):
+    first = DAY0.date()
+    rows = [(f, first + dt.timedelta(days=i), f * (1 + i % 7)) for f in (1e21, 1.0, 1e-6) for i in range(70)]
+    df = spark.createDataFrame(rows, "k double, ds date, y double")
+    shapes = {}
+    for r in forecast(df, ["k"], 7).orderBy("ds").collect():
+        shapes.setdefault(r["k"], []).append([r[c] / r["k"] for c in ("yhat", "yhat_lower", "yhat_upper")])
+    assert len(shapes) == 3
+    for f in (1e21, 1e-6):
+        assert np.allclose(shapes[f], shapes[1.0], rtol=1e-6, atol=1e-9)
+
+
+def test_coverage(spark):
+    rng = random.Random(8)
+    rows = [(k, DAY0.date() + dt.timedelta(days=i), max(50 + 9 * (i % 7) + rng.gauss(0, 6), 0.0)) for k in "abcdef" for i in range(200)]
+    span = (DAY0.date(), DAY0.date() + dt.timedelta(days=199))
+    df = spark.createDataFrame(rows, "k string, ds date, y double")
+    got = {r["k"]: (r["periods"], r["inside"]) for r in coverage(df, ["k"], 30, "D", span).collect()}
+    assert set(got) == set("abcdef") and all(p == 30 for p, _ in got.values())
+    assert 0.65 < sum(i for _, i in got.values()) / 180 < 0.95
+    with pytest.raises(ValueError):
+        coverage(df, ["k"], 300, "D", span)
 
 
 def test_forecast_tables_and_summary(spark):
