@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from reportstar.functions.numbers import money, money_sum
 from reportstar.functions.text import quoted
 from reportstar.functions.times import day
-from reportstar.operators.ordinals import exact_quantiles, moments, value_counts
+from reportstar.operators.quantiles import describe
 from reportstar.operators.rows import drop_incomplete_rows
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -39,21 +39,12 @@ def profile(df: DataFrame) -> DataFrame:
 def summary(df: DataFrame) -> DataFrame:
     """Count, mean, std, min, quartiles and max of the numeric columns; quartiles are exact.
 
-    The data are read once; all figures come from the staged counts of distinct values. A column
-    without values has count 0 and NULLs, also in a table without rows.
+    The data are read once. A column without values has count 0 and NULLs, also in a table without rows.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    counts = value_counts(df, numeric)
-    quartiles = exact_quantiles(counts, QUARTILES).groupBy("column").agg(
-        *[F.max(F.when(F.col("share") == q, F.col("value"))).alias(f"q{int(q * 100)}") for q in QUARTILES]
-    )
-    # One row per numeric column on every side of the joins.
-    names = F.array(*[F.lit(c) for c in numeric]) if numeric else F.array().cast("array<string>")
-    every = df.sparkSession.range(1).select(F.explode(names).alias("column"))
-    found = every.join(F.broadcast(moments(counts)), "column", "left").join(F.broadcast(quartiles), "column", "left")
-    return found.select(
-        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    found = describe(df, numeric, QUARTILES)
+    quartiles = [F.get("quantiles", F.lit(i)).alias(f"q{int(q * 100)}") for i, q in enumerate(QUARTILES)]
+    return found.select("column", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:

@@ -1,14 +1,13 @@
-"""Global positions and exact quantiles without a single-task sort."""
+"""Global positions without a single-task sort."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportstar.functions.text import quoted
 from reportstar.staging import stage
 
 _POS = "__pos"
@@ -44,80 +43,3 @@ def with_ordinal(df: DataFrame, id_col: str, order: Sequence[Column]) -> DataFra
     return placed.join(F.broadcast(offsets), _PART).select(
         (F.col("__offset") + row + 1).alias(id_col), *df.columns
     )
-
-
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``column, v, n``: distinct values of numeric columns and how often they occur, staged.
-
-    The values of a column are sorted into ranges, so that ranks can be found range by range.
-    """
-    if not columns:
-        empty = df.sparkSession.createDataFrame([], "column string, v double, n bigint")
-        return _ranged(empty, [F.col("column"), F.col("v")], "value_counts").drop(_POS)
-    pairs = F.inline(
-        F.array(
-            *[F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("v")) for c in columns]
-        )
-    )
-    counts = (
-        df.select(pairs)
-        .filter("v is not null")
-        .groupBy("column", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return _ranged(counts, [F.col("column"), F.col("v")], "value_counts").drop(_POS)
-
-
-def exact_quantiles(counts: DataFrame, shares: Sequence[float]) -> DataFrame:
-    """Linearly interpolated quantiles of ``value_counts``: ``column, share, value``.
-
-    Only the ranges that hold a wanted rank are looked at row by row.
-    """
-    ranges = counts.groupBy("column", _PART).agg(F.sum("n").alias("w"))
-    prior = Window.partitionBy("column").orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("start", F.coalesce(F.sum("w").over(prior), F.lit(0)))
-
-    # Everything broadcast below has at most two rows per column and share.
-    place = F.col("share") * (F.col("total") - 1)
-    ranks = (
-        ranges.groupBy("column")
-        .agg(F.sum("w").alias("total"))
-        .select("column", "total", F.explode(F.array(*[F.lit(float(s)) for s in shares])).alias("share"))
-        .select(
-            "column",
-            "share",
-            (place - F.floor(place)).alias("frac"),
-            F.explode(F.array(F.floor(place), F.ceil(place))).alias("rank"),
-        )
-        .distinct()
-    )
-    wanted = (
-        ranks.join(ranges, "column")
-        .filter("rank >= start and rank < start + w")
-        .select("column", _PART, "start")
-        .distinct()
-    )
-    running = Window.partitionBy("column", _PART).orderBy("v")
-    rows = counts.join(F.broadcast(wanted), ["column", _PART]).withColumn(
-        "upto", F.col("start") + F.sum("n").over(running)
-    )
-    hits = rows.join(F.broadcast(ranks), "column").filter("rank >= upto - n and rank < upto")
-    low, high = F.min("v"), F.max("v")
-    return hits.groupBy("column", "share").agg((low + (high - low) * F.max("frac")).alias("value"))
-
-
-def moments(counts: DataFrame) -> DataFrame:
-    """``column, count, mean, std, min, max`` of ``value_counts``."""
-    means = counts.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    # One row per column.
-    gap = F.col("v") - F.col("mean")
-    squares = counts.join(F.broadcast(means), "column").groupBy("column", "count", "mean", "min", "max").agg(
-        F.sum(gap * gap * F.col("n")).alias("squares")
-    )
-    std = F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1)))
-    return squares.select("column", "count", "mean", std.alias("std"), "min", "max")

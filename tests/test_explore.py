@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportstar.operators import columns, explore, rows as row_rules
-from reportstar.operators.ordinals import exact_quantiles, value_counts
+from reportstar.operators.quantiles import exact_quantiles, select_ranks, stage_numbers
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def test_quantiles_of_few_values(spark, size):
     values = [float(v * v) for v in range(size)]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     shares = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {r["share"]: r["value"] for r in exact_quantiles(value_counts(df, ["v"]), shares).collect()}
+    got = {r["share"]: r["value"] for r in exact_quantiles(df, ["v"], shares).collect()}
     assert [got[s] for s in shares] == pytest.approx(np.quantile(values, shares).tolist())
 
 
@@ -115,3 +115,32 @@ def test_column_rules(spark):
     assert kept.columns == ["d.e", "a"]
     raw = columns.keep_raw(kept, ["d.e", "zzz"]).withColumn("d.e", F.lit(0))
     assert tuple(raw.first()) == (0, 1, 2)
+
+
+def test_quantiles_of_every_size(spark):
+    values = [0.0, -0.0, 5e-324, 1e-300, -1e300, 1.7e308, -1.7e308, 1.0, 1.0 + 2**-52, -1.0, 2.0**-1022, 3.5, 3.5] * 3 + [None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "`a.b` double")
+    known = sorted(v for v in values if v is not None and v == v)
+    shares = [i / (len(known) - 1) for i in range(len(known))]
+    got = {r["share"]: r["value"] for r in exact_quantiles(df, ["a.b"], shares).collect()}
+    assert [got[s] for s in shares] == [pytest.approx(v, rel=1e-9) for v in known]
+
+
+def test_no_task_of_a_quantile_holds_a_range(spark):
+    """A million distinct values of one binary exponent: every task reads counts of ranges only."""
+    numbers = stage_numbers(spark.range(0, 1_000_000, numPartitions=8).select((1 + F.col("id") * 1e-6).alias("v")), ["v"])
+    sc = spark.sparkContext
+    sc.setJobGroup("quantiles", "")
+    found = select_ranks(numbers, {"c0": [0.25, 0.5, 0.999]})
+    jobs = sc.statusTracker().getJobIdsForGroup("quantiles")
+    sc.setJobGroup("other", "")
+    assert found["c0", 0.5] == 1 + 499_999.5e-6 and found["c0", 0.25] == 1 + 249_999.75e-6
+    store, read = sc._jsc.sc().statusStore(), []
+    for job in jobs:
+        for s in sc.statusTracker().getJobInfo(job).stageIds:
+            tasks = store.taskList(s, 0, 1000)
+            for i in range(tasks.size()):
+                metrics = tasks.apply(i).taskMetrics()
+                if metrics.isDefined():
+                    read.append(metrics.get().shuffleReadMetrics().recordsRead())
+    assert read and max(read) <= 8 * 3 * 4096
