@@ -31,7 +31,7 @@ LEAST = 4
 LEAST_WORDS = 3
 
 # Public license notices: fixed values.
-TEMPLATES = {
+LONG_TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "MIT": "Released under the MIT License.",
@@ -44,7 +44,7 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
 
-# Short notices and identifiers. The registered SQL is made from TEMPLATES and five words, so these stand apart.
+# Short notices and identifiers: fixed values.
 SHORT_TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
     "SPDX-Apache-2.0": "SPDX-License-Identifier: Apache-2.0",
@@ -52,6 +52,7 @@ SHORT_TEMPLATES = {
     "SPDX-GPL-3.0-only": "SPDX-License-Identifier: GPL-3.0-only",
     "SPDX-MIT": "SPDX-License-Identifier: MIT",
 }
+TEMPLATES = LONG_TEMPLATES | SHORT_TEMPLATES
 
 
 def words(text: Column) -> Column:

@@ -7,11 +7,10 @@ the one exchange of the sequences. A suffix enters with its shortest prefix of `
 suffixes that share it lie in one interval of the suffix order whose common prefix is that long.
 
 These prefixes cover a maximal repeated run up to a tail: a last part of under ``min_words`` words, from where
-a prefix reaches past the run. With ``tails`` the shortest run of ``min_words`` words up to each line enters as well.
+a prefix reaches past the run. So the shortest run of ``min_words`` words up to each line enters as well.
 In a run of that many words, a line either has ``min_words`` words from it to the end of the run, or lies in the
 shortest such run up to the last line; so both kinds together cover maximal runs whole, and nothing else: each lies in
-one. The same words make the same windows at every occurrence. Without ``tails``, as in the registered query and
-its SQL, tails stay.
+one. The same words make the same windows at every occurrence.
 
 Every occurrence but the first (by ``doc_id``, nulls last, then row and line) is deleted, with the
 blank lines that follow it. Copies in one document count. Runs of fewer words stay.
@@ -49,8 +48,8 @@ def _run_name(names: dict[int, Column], m: Column, i: Column, half: str) -> Colu
     return out
 
 
-def _runs(lines: Column, min_words: int, tails: bool) -> Column:
-    """``(at, stop, k1, k2)`` of the shortest run of ``min_words`` words from each line, and with ``tails`` up to each line."""
+def _runs(lines: Column, min_words: int) -> Column:
+    """``(at, stop, k1, k2)`` of the shortest run of ``min_words`` words from each line and up to each line."""
 
     def with_places(w: Column, p: Column) -> Column:
         counts = F.transform(p, lambda x: F.get(w, x))
@@ -72,22 +71,18 @@ def _runs(lines: Column, min_words: int, tails: bool) -> Column:
                 _run_name(known, m, k, "a").alias("k1"), _run_name(known, m, k, "b").alias("k2"),
             )
 
-        def double(i: Column, m: Column, back: Column | None, known: dict[int, Column]) -> Column:
+        def double(i: Column, m: Column, back: Column, known: dict[int, Column]) -> Column:
             h = max(known)
             if 2 * h <= min_words:
                 return let(_doubled(known[h], h, i), lambda more: double(i, m, back, known | {2 * h: more}))
             found = F.transform(i, lambda k: F.when(F.get(m, k).isNotNull(), run(k, F.get(m, k), known)))
-            if back is not None:
-                # Where both ways give the same run, it enters once.
-                first = lambda k: k - F.get(back, k) + 1
-                more = F.transform(i, lambda k: F.when(F.get(m, first(k)) < F.get(back, k), run(first(k), F.get(back, k), known)))
-                found = F.concat(found, more)
-            return F.filter(found, lambda r: r.isNotNull())
+            # Where both ways give the same run, it enters once.
+            first = lambda k: k - F.get(back, k) + 1
+            more = F.transform(i, lambda k: F.when(F.get(m, first(k)) < F.get(back, k), run(first(k), F.get(back, k), known)))
+            return F.filter(F.concat(found, more), lambda r: r.isNotNull())
 
         def windows(i: Column, c: Column, n: Column) -> Column:
             ahead = F.transform(i, lambda k: needed(c, k))
-            if not tails:
-                return let(ahead, lambda m: double(i, m, None, {1: n}))
             back = let(F.reverse(c), lambda r: F.transform(i, lambda k: needed(r, F.size(p) - 1 - k)))
             return let(ahead, lambda m: let(back, lambda b: double(i, m, b, {1: n})))
 
@@ -100,13 +95,13 @@ def _runs(lines: Column, min_words: int, tails: bool) -> Column:
     return let(F.transform(lines, lambda x: F.regexp_count(x, F.lit(r"\S+"))), with_counts)
 
 
-def run_table(docs: DataFrame, min_words: int = MIN_WORDS, tails: bool = False) -> DataFrame:
-    """Shortest runs of ``min_words`` words from each line (with ``tails`` up to each, too): ``doc_id, row, at, stop, k1, k2``.
+def run_table(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Shortest runs of ``min_words`` words from and up to each line: ``doc_id, row, at, stop, k1, k2``.
 
     ``row`` is the row number of the scan, ``at`` and ``stop`` are line positions of the text, ``k1`` and
     ``k2`` name the run. All comes from one expression beside the row number, which keeps filters above it.
     """
-    runs = F.when(F.col("text").isNotNull(), let(F.split("text", "\n", -1), lambda lines: _runs(lines, min_words, tails)))
+    runs = F.when(F.col("text").isNotNull(), let(F.split("text", "\n", -1), lambda lines: _runs(lines, min_words)))
     return docs.select("doc_id", F.monotonically_increasing_id().alias("row"), runs.alias("runs")).select("doc_id", "row", F.inline("runs"))
 
 
@@ -131,14 +126,14 @@ def _left(lines: Column, gone: Column) -> Column:
     return let(spans, lambda lost: F.struct(text(lost).alias("text"), F.size(lost).alias("removed"), starts(lost).alias("runs")))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: str | None = None, tails: bool = False) -> DataFrame:
-    """``docs`` with the later copies of repeated runs deleted from ``text``, with ``tails`` of maximal runs as a whole.
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, report: str | None = None) -> DataFrame:
+    """``docs`` with the later copies of maximal repeated runs deleted from ``text``.
 
     ``report`` names an added struct column ``(lines, removed, runs)``.
     """
     row, gone = free_name(docs, "line_row"), free_name(docs, "line_gone")
     keyed = with_row_key(docs, row)
-    copies = later_copies(run_table(docs, min_words, tails))
+    copies = later_copies(run_table(docs, min_words))
     gone_row = free_name(docs, "line_gone_row")
     deleted = copies.groupBy(F.col("row").alias(gone_row)).agg(F.collect_list(F.struct("at", "stop")).alias(gone))
     joined = keyed.join(deleted, F.col(row) == F.col(gone_row), "left")

@@ -42,12 +42,6 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def op5_license_scan_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with short notices and identifiers, which the SQL of op5_license_scan leaves out."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return licenses.scan_licenses(docs, licenses.TEMPLATES | licenses.SHORT_TEMPLATES)
-
-
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and passage found in it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -89,17 +83,11 @@ def line_report(kept: DataFrame) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and runs removed from each document, and the digest of the text that stays; tails of runs stay, as in its SQL."""
+    """Lines and runs removed from each document, and the digest of the text that stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_report(linededup.dedup_lines(docs, report="report"))
 
 
-def op9_line_dedup_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same of maximal runs with their tails."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_report(linededup.dedup_lines(docs, report="report", tails=True))
-
-
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.group_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -124,12 +112,10 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mix_sources": op4_mix_sources,
     "op5_license_scan": op5_license_scan,
-    "op5_license_scan_whole": op5_license_scan_whole,
     "op6_decontaminate": op6_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
-    "op9_line_dedup_whole": op9_line_dedup_whole,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
@@ -180,11 +166,16 @@ hits AS (
   FROM shingles d JOIN (SELECT DISTINCT license, s FROM shingles WHERE license IS NOT NULL) t ON d.s = t.s
   JOIN sizes z ON z.license = t.license WHERE d.doc_id IS NOT NULL),
 windows AS (SELECT *, unnest([i // size, i // size - 1]) AS k FROM hits),
+padded AS (SELECT doc_id, license, len(w) AS n, ' ' || array_to_string(w, ' ') || ' ' AS s FROM words),
+short AS (
+  SELECT d.doc_id, t.license, instr(d.s, t.s) AS place, d.s FROM padded d JOIN padded t ON instr(d.s, t.s) > 0
+  WHERE d.license IS NULL AND t.license IS NOT NULL AND t.n < {licenses.WORDS}),
 shares AS (
   SELECT doc_id, license, k * size AS first_word, count(DISTINCT s) / n::DOUBLE AS containment
   FROM windows WHERE k >= 0 GROUP BY doc_id, license, k, size, n)
 SELECT doc_id, license, max(containment) AS containment, arg_max(first_word, containment * 1e12 - first_word)::BIGINT AS first_word
 FROM shares WHERE containment >= {licenses.CONTAINMENT} GROUP BY doc_id, license
+UNION ALL SELECT doc_id, license, 1.0::DOUBLE, len(string_split(substr(s, 1, place), ' '))::BIGINT - 2 FROM short
 """,
     "op9_line_dedup": f"""
 WITH lines AS (
@@ -193,20 +184,15 @@ WITH lines AS (
 counted AS (
   SELECT *, len(regexp_extract_all(line, '[^ \\t\\n\\x0B\\f\\r]+')) AS w FROM lines),
 seq AS (
-  SELECT doc_id, pos, line, w, row_number() OVER d AS i, sum(w) OVER d AS upto,
-         coalesce(lead(pos) OVER d, max_pos + 1) AS following
+  SELECT doc_id, pos, line, w, row_number() OVER d AS i, coalesce(lead(pos) OVER d, max_pos + 1) AS following
   FROM (SELECT *, max(pos) OVER (PARTITION BY doc_id) AS max_pos FROM counted) WHERE w > 0
   WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-ends AS (
-  SELECT a.doc_id, a.i, min(b.i) AS j
-  FROM seq a JOIN seq b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + {linededup.MIN_WORDS - 1}
-       AND b.upto - a.upto + a.w >= {linededup.MIN_WORDS}
-  GROUP BY a.doc_id, a.i),
-runs AS (
-  SELECT e.doc_id, e.i, e.j, string_agg(s.line, chr(10) ORDER BY s.i) AS run
-  FROM ends e JOIN seq s ON s.doc_id = e.doc_id AND s.i BETWEEN e.i AND e.j GROUP BY e.doc_id, e.i, e.j),
-later AS (
-  SELECT doc_id, i, j FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM runs) WHERE copy > 1),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY doc_id NULLS LAST) AS r FROM seq),
+pairs AS (
+  SELECT a.r AS e, b.doc_id, b.r, b.i, b.i - a.i AS shift, b.w
+  FROM ranked a JOIN ranked b ON a.line = b.line AND (a.r < b.r OR (a.r = b.r AND a.i < b.i))),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY e, r, shift ORDER BY i) AS island FROM pairs),
+later AS (SELECT doc_id, min(i) AS i, max(i) AS j FROM islands GROUP BY e, doc_id, r, shift, island HAVING sum(w) >= {linededup.MIN_WORDS}),
 gone AS (
   SELECT DISTINCT c.doc_id, c.pos
   FROM later l JOIN seq s ON s.doc_id = l.doc_id AND s.i BETWEEN l.i AND l.j

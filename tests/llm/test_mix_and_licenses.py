@@ -14,7 +14,8 @@ from check_oracle import compare, connect
 from reportstar.llm import decontaminate, licenses, mixing, quality, simhash
 from reportstar.llm.queries import ORACLE, QUERIES
 from reportstar.staging import new_path, stage
-from test_exact import brute_lines, fingerprint, words
+from test_exact import fingerprint, words
+from test_whole_runs import brute_maximal
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -75,14 +76,14 @@ def test_licenses(spark):
     rng = random.Random(4)
     rows = []
     for i in range(60):
-        notice = list(licenses.TEMPLATES.values())[i % 10].split(" ")
+        notice = list(licenses.LONG_TEMPLATES.values())[i % 10].split(" ")
         for _ in range(rng.randint(0, 3) if len(notice) > 20 else 0):
             notice[rng.randrange(len(notice))] = "changed"
         rows.append((i, f"{words(rng, rng.randint(0, 60))}\n{' '.join(notice).upper() if i % 4 == 0 else ' '.join(notice)} {words(rng, rng.randint(0, 30))}"))
     rows += [(100, None), (101, ""), (102, "Licensed under CC"), (103, words(rng, 300)), (104, "released under the mit license " * 300)]
     docs = stage(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, license string"), "docs")
-    got = {tuple(r) for r in licenses.scan_licenses(docs).collect()}
-    assert got == brute_licenses(rows, licenses.TEMPLATES) and len({g[1] for g in got}) == 10
+    got = {tuple(r) for r in licenses.scan_licenses(docs, licenses.LONG_TEMPLATES).collect()}
+    assert got == brute_licenses(rows, licenses.LONG_TEMPLATES) and len({g[1] for g in got}) == 10
     assert licenses.scan_licenses(docs.limit(0)).collect() == []
     twice = stage(docs.filter("doc_id = 2").union(docs.filter("doc_id = 2")), "twice")
     assert licenses.scan_licenses(twice).count() == 2
@@ -111,7 +112,7 @@ def test_pipeline_against_its_stages_by_hand(spark):
     scored = quality.score_quality(docs, quality.fit_quality(docs, labels), "score").collect()
     state = [(r.doc_id, r.text, r.source) for r in scored if r.score >= 0.5]
     assert {i for i, *_ in state} <= {i for i, *_ in rows} and len(state) >= len(rows) - 4
-    kept = Counter(brute_lines([(i, t) for i, t, _ in state], 8))
+    kept = Counter(brute_maximal([(i, t) for i, t, _ in state], 8))
     source = {i: s for i, _, s in state}
     prints = {f: f for f in {fingerprint(t) for _, t in kept.elements()}}
     changed = True

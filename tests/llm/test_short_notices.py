@@ -15,7 +15,7 @@ def test_short_notices(spark):
         (9, "// SPDX-License-Identifier: GPL-3.0-only"), (10, "x SPDX-License-Identifier: Apache-2.0 y"), (1, "All rights reserved."),
     ]
     docs = stage(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, license string"), "short")
-    found = licenses.scan_licenses(docs, licenses.TEMPLATES | licenses.SHORT_TEMPLATES)
+    found = licenses.scan_licenses(docs)
     assert found.dtypes == licenses.scan_licenses(docs).dtypes
     want = []
     for i, text in rows:

@@ -39,7 +39,7 @@ def test_tails_of_runs(spark):
     run = "a line of nine words that come twice over\nshort tail"
     rows = [(1, run), (2, f"before\n{run}"), (3, f"{run}\n\nbehind"), (4, "short tail")]
     table = stage(spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], DOCS).coalesce(1), "tails")
-    got = {r.doc_id: (r.text, r.report.removed, r.report.runs) for r in linededup.dedup_lines(table, report="report", tails=True).collect()}
+    got = {r.doc_id: (r.text, r.report.removed, r.report.runs) for r in linededup.dedup_lines(table, report="report").collect()}
     assert got == {1: (run, 0, 0), 2: ("before", 2, 1), 3: ("behind", 3, 1), 4: ("short tail", 0, 0)}
 
 
@@ -53,5 +53,5 @@ def test_maximal_runs(spark):
         rows.append((200 + rng.randrange(30), f"{words(rng, 3)}\n{rows[k][1]}\n{words(rng, rng.randint(1, 4))}"))
     table = stage(spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], DOCS).coalesce(1), "maximal")
     for least in (8, 5, 1):
-        kept = linededup.dedup_lines(table, least, tails=True)
+        kept = linededup.dedup_lines(table, least)
         assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == brute_maximal(rows, least)
