@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from reportstar.operators.clean import bad_cell, clean_all, count_bad_cells
-from reportstar.operators.explore import table_counts
 from reportstar.operators.forecast import forecast_tables
 from reportstar.operators.star import transform
 from reportstar.operators.strip import check_width, strip_artifacts
 from reportstar.sources.grid import scan_reports
 from reportstar.sources.layouts import LAYOUTS
-from reportstar.sources.star import STAR_SCHEMAS, load_data, read_star, read_table, write_all, write_table
+from reportstar.sources.publish import place, publish
+from reportstar.sources.star import load_data, read_table, write_all, write_table
 from reportstar.staging import run_folders, stage
 
 
@@ -34,7 +34,7 @@ def run_etl(
     input_fmt: str = "parquet",
     strict: bool = True,
 ) -> DataFrame:
-    """Build and write the star schema; returns the rows per written table.
+    """Build and write the star schema; returns the rows per written table, counted while they are written.
 
     The stripped text tables are staged as columns, since dimensions read two or three of
     their columns and facts all of them. Bad cells are counted in that same pass and abort the run
@@ -47,8 +47,8 @@ def run_etl(
             raw[name] = stage(count_bad_cells(name, df, seen) if strict else df, f"raw_{name}")
             if strict and seen.get["bad"]:
                 raise bad_cell(name, raw[name])
-        write_all(transform(clean_all(raw)), output_dir, fmt)
-    return table_counts(read_star(spark, output_dir, STAR_SCHEMAS, fmt))
+        rows = write_all(transform(clean_all(raw)), output_dir, fmt)
+    return spark.createDataFrame(list(rows.items()), "table string, rows bigint")
 
 
 def run_forecast(
@@ -61,12 +61,9 @@ def run_forecast(
 ) -> dict[str, DataFrame]:
     """Forecast from a written star schema; writes and reads back ``consumption``, ``revenue`` and ``skipped``."""
     base = forecast_dir.rstrip("/\\")
-    written = {}
     with run_folders(spark):
         data = load_data(spark, output_dir, fmt)
         tables = forecast_tables(data["cash"], data["stock"], data["items"], horizon, freq)
-        for name in ("consumption", "revenue", "skipped"):
-            path = f"{base}/forecast_{name}"
-            write_table(tables[name], path, fmt)
-            written[name] = read_table(spark, path, tables[name].schema, fmt)
-    return written
+        made = {name: tables[name] for name in ("consumption", "revenue", "skipped")}
+        publish(spark, base, {f"forecast_{name}": df for name, df in made.items()}, lambda df, path: write_table(df, path, fmt))
+        return {name: read_table(spark, place(spark, base, f"forecast_{name}"), df.schema, fmt) for name, df in made.items()}

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from reportstar.functions.text import strip
 from reportstar.operators.lookup import attach
 from reportstar.sources.layouts import LAYOUTS
-from reportstar.staging import stage
 
 GRID_SCHEMA = T.StructType(
     [
@@ -26,23 +25,33 @@ def scan_grid(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GRID_SCHEMA).parquet(path)
 
 
+def _pinned(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose file scans are cut the same way every time.
+
+    Else the splits depend on the number of cores at that moment, which grows and shrinks on a cluster.
+    """
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            other.conf.set(key, value)
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        other.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
+    return other
+
+
 def scan_text_grid(spark: SparkSession, path: str, report: str, sep: str = "\t") -> DataFrame:
     """Grids staged as delimited text, one grid row per line, one report per file.
 
-    Large files are read in splits. A line's number is its position in the split plus the
-    lines of the splits before it, so no file has to pass through one task.
+    Large files are read in splits. A first pass counts the lines of each split and writes nothing but
+    these counts; a line's number is its position in the split plus the lines of the splits before it. So no file has
+    to pass through one task, and the numbers come with the scan: the text is not copied for them.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").text(path)
-        .select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.split("value", sep).alias("cells"),
-            F.monotonically_increasing_id().alias("seq"),
-        )
-    )
-    lines = stage(lines, "text_grid").withColumn(
-        "split", F.concat_ws("#", "source_file", F.col("block").cast("string"))
+    lines = _pinned(spark).read.option("recursiveFileLookup", "true").text(path).select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.concat_ws("#", "_metadata.file_path", F.col("_metadata.file_block_start").cast("string")).alias("split"),
+        "value",
+        F.monotonically_increasing_id().alias("seq"),
     )
     before = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
@@ -53,11 +62,12 @@ def scan_text_grid(spark: SparkSession, path: str, report: str, sep: str = "\t")
             (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_seq")).alias("shift"),
         )
     )
+    changed = F.raise_error(F.lit("the files changed while they were read")).cast("bigint")
     return attach(lines, splits, "split", "split_key").select(
         F.lit(report).alias("report"),
         "source_file",
-        (F.col("seq") + F.col("shift")).alias("row_idx"),
-        "cells",
+        (F.col("seq") + F.coalesce("shift", changed)).alias("row_idx"),
+        F.split("value", sep).alias("cells"),
     )
 
 

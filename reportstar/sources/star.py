@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reportstar.operators.quality import relationships
+from reportstar.sources.publish import Files, place, publish
 
 FORMATS = ("csv", "parquet")
 # Delimited files as other programs take them: blanks stay, a quote is doubled, texts may hold line breaks.
@@ -73,26 +74,27 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer.save(path)
 
 
-def write_all(tables: dict[str, DataFrame], output_dir: str, fmt: str = "csv") -> None:
-    """Write ``dims/``, ``facts/`` and ``relationships.json``, replacing earlier output."""
+def write_all(tables: dict[str, DataFrame], output_dir: str, fmt: str = "csv") -> dict[str, int]:
+    """Write ``dims/``, ``facts/`` and ``relationships.json``, replacing earlier output as a whole; returns the rows of each table.
+
+    A run that fails leaves the earlier output as it was.
+    """
     _check_format(fmt)
-    base = output_dir.rstrip("/\\")
     spark = next(iter(tables.values())).sparkSession
-    write_relationships(spark, tables, f"{base}/relationships.json")
-    for name, df in tables.items():
-        write_table(df, f"{base}/{_folder(name)}/{name}", fmt)
+    names = {f"{_folder(name)}/{name}": df for name, df in tables.items()}
+    texts = {"relationships.json": relationships_text(tables)}
+    rows = publish(spark, output_dir.rstrip("/\\"), names, lambda df, path: write_table(df, path, fmt), texts)
+    return {name: rows[f"{_folder(name)}/{name}"] for name in tables}
+
+
+def relationships_text(tables: dict[str, DataFrame]) -> str:
+    """JSON of all relationships, one entry per foreign key column."""
+    return json.dumps({"relationships": relationships(tables)}, indent=2)
 
 
 def write_relationships(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
-    """One JSON file with all relationships, one entry per foreign key column; written by the session's file system."""
-    text = json.dumps({"relationships": relationships(tables)}, indent=2)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = files.create(target, True)
-    try:
-        out.write(bytearray(text, "utf-8"))
-    finally:
-        out.close()
+    """One JSON file with all relationships; written by the session's file system."""
+    Files(spark).write(path, relationships_text(tables))
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "csv") -> DataFrame:
@@ -112,7 +114,7 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType, fmt:
 def read_star(spark: SparkSession, output_dir: str, names=None, fmt: str = "csv") -> dict[str, DataFrame]:
     base = output_dir.rstrip("/\\")
     return {
-        name: read_table(spark, f"{base}/{_folder(name)}/{name}", STAR_SCHEMAS[name], fmt)
+        name: read_table(spark, place(spark, base, f"{_folder(name)}/{name}"), STAR_SCHEMAS[name], fmt)
         for name in names or STAR_SCHEMAS
     }
 

@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reportstar import staging
 from reportstar.operators.strip import account, check_width, strip_artifacts
 from reportstar.sources.grid import GRID_SCHEMA, scan_grid, scan_reports, scan_text_grid, scan_with_header
 from reportstar.sources.layouts import LAYOUTS
+from reportstar.staging import stage
 
 CASH = LAYOUTS["cash"]
 # The 18 rows of a small printed cash report.
@@ -97,6 +99,17 @@ def test_text_scan_numbers_lines_across_splits(spark, tmp_path):
     assert got == want
 
 
+def test_text_is_written_once(spark, tmp_path):
+    write_text(tmp_path / "cash", "a.txt", PRINTED)
+    before = len(staging._made)
+    grid = scan_text_grid(spark, str(tmp_path / "cash"), "cash")
+    kept = stage(strip_artifacts(grid, CASH, keep_position=True), "kept")
+    made = staging._made[before:]
+    assert kept.count() == 3
+    texts = [p for p in made if any(t == "string" and c not in ("__lookup_key", "source_file") for c, t in spark.read.parquet(p).dtypes)]
+    assert texts == made[-1:] and len(made) == 2  # the counts of the splits, and the rows
+
+
 def test_scan_reports_from_parquet(spark, tmp_path):
     for name in LAYOUTS:
         grid_of(spark, PRINTED, report=name).write.parquet(str(tmp_path / name))

@@ -3,8 +3,10 @@ from pathlib import Path
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reportstar.operators import quality, star
+from reportstar.sources import publish
 from reportstar.sources.star import load_data, read_star, read_table, write_all, write_table
 from test_star import cleaned_tables
 
@@ -55,6 +57,37 @@ def test_round_trip(spark, rows, tmp_path, fmt):
     assert set(load_data(spark, str(tmp_path), fmt)) == {"cash", "stock", "items"}
 
 
+def test_a_run_that_fails_leaves_the_old_star_whole(spark, rows, tmp_path):
+    old = star.transform(cleaned_tables(spark))
+    counts = write_all(old, str(tmp_path), "parquet")
+    assert counts == {name: df.count() for name, df in old.items()}
+    broken = dict(old)
+    for k, name in enumerate(old):
+        key = old[name].columns[0]
+        bad = F.when(F.rand() < 2, F.raise_error(F.lit("lost"))).cast("bigint") if k == 2 else F.lit(7).cast("bigint")
+        broken[name] = old[name].withColumn(key, bad)
+    with pytest.raises(Exception, match="lost"):
+        write_all(broken, str(tmp_path), "parquet")
+    assert {p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")} == {"dims", "facts", "relationships.json"}
+    for name, df in read_star(spark, str(tmp_path), fmt="parquet").items():
+        assert rows(df) == rows(old[name])
+
+
+def test_a_run_cut_off_while_it_is_published_counts(spark, rows, tmp_path, monkeypatch):
+    one = {"dim_cashier": spark.sql("select 1L as cashier_id, 'anna' as cashier_name")}
+    two = {"dim_cashier": spark.sql("select 2L as cashier_id, 'ben' as cashier_name")}
+    write_all(one, str(tmp_path))
+    moves = publish.Files.move
+    monkeypatch.setattr(publish.Files, "move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError, match="lost"):
+        write_all(two, str(tmp_path))
+    assert rows(read_star(spark, str(tmp_path), ["dim_cashier"])["dim_cashier"]) == [(2, "ben")]
+    monkeypatch.setattr(publish.Files, "move", moves)
+    publish.finish(spark, str(tmp_path))
+    assert {p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")} == {"dims", "relationships.json"}
+    assert rows(read_star(spark, str(tmp_path), ["dim_cashier"])["dim_cashier"]) == [(2, "ben")]
+
+
 def test_csv_layout(spark, tmp_path):
     df = spark.sql("select 1 as a, cast(null as bigint) as b, true as c, timestamp_ntz'2026-03-23 03:23:54' as d, '' as e")
     write_table(df, f"{tmp_path}/t")
