@@ -25,17 +25,29 @@ DECIMAL_PATTERN = r"^-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)$"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 
 
+def _below(value: Column, bound: float) -> Column:
+    """NULL for numbers of ``bound`` and more in size; NULLIF-like, so that the text is parsed once."""
+    return F.get(F.filter(F.array(value), lambda x: F.abs(x) < bound), F.lit(0))
+
+
+def _number(text: Column, pattern: str, bound: float, digits: int) -> Column:
+    """``text`` as a DOUBLE below ``bound`` if ``pattern`` takes it.
+
+    A plain number of up to ``digits`` digits before the point is below the bound for certain and is not compared with
+    it; a comparison would need a lambda, which generated code can't hold. Others are rare.
+    """
+    sign = pattern[1 : pattern.index("(")]
+    plain = rf"^{sign}(?:0*[0-9]{{1,{digits}}}(?:\.[0-9]*)?|\.[0-9]+)$"
+    other = _below(capture(text, pattern, 0).try_cast("double"), bound)
+    return F.coalesce(capture(text, plain, 0).try_cast("double"), other)
+
+
 def to_number(c: Column | str) -> Column:
     """Plain decimal or scientific notation to a finite DOUBLE; blanks around it are allowed.
 
     The pattern keeps out what only a JVM number parser takes (``1.5d``, ``Infinity``, ``NaN``).
     """
-    return _below(capture(strip(c), NUMBER_PATTERN, 0).try_cast("double"), float("inf"))
-
-
-def _below(value: Column, bound: float) -> Column:
-    """NULL for numbers of ``bound`` and more in size; NULLIF-like, so that the text is parsed once."""
-    return F.get(F.filter(F.array(value), lambda x: F.abs(x) < bound), F.lit(0))
+    return _number(strip(c), NUMBER_PATTERN, float("inf"), 300)
 
 
 def parse_amount(c: Column | str, drop_thousands: bool = True) -> Column:
@@ -47,16 +59,14 @@ def parse_amount(c: Column | str, drop_thousands: bool = True) -> Column:
     if drop_thousands:
         s = F.replace(s, F.lit(THOUSANDS), F.lit(""))
     s = F.replace(s, F.lit(f" {CURRENCY}"), F.lit(""))
-    return _below(to_number(F.replace(s, F.lit(","), F.lit("."))), AMOUNT_BOUND)
+    return _number(strip(F.replace(s, F.lit(","), F.lit("."))), NUMBER_PATTERN, AMOUNT_BOUND, 14)
 
 
 def parse_amount_lenient(c: Column | str, header: str) -> Column:
     """Keep only digits, dots and minus signs; a repeated header cell is NULL."""
     s = strip(c)
     body = F.when(F.lower(s) != header.lower(), F.replace(s, F.lit(","), F.lit(".")))
-    return _below(
-        capture(F.regexp_replace(body, r"[^0-9.\-]+", ""), DECIMAL_PATTERN, 0).try_cast("double"), AMOUNT_BOUND
-    )
+    return _number(F.regexp_replace(body, r"[^0-9.\-]+", ""), DECIMAL_PATTERN, AMOUNT_BOUND, 14)
 
 
 def to_int(c: Column | str) -> Column:

@@ -1,7 +1,8 @@
 """Typed tables from the text tables of the four reports, and the cells that do not parse.
 
 A bad cell becomes NULL and is listed by ``rejects``; its row stays. Cleaning is one
-projection, so a consumer that needs one column parses only that column.
+projection, so a consumer that needs one column parses only that column. ``parse_table`` gives typed columns and bad cells
+of one parse; stored once, both are read from there.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 from reportstar.functions.numbers import parse_amount, to_id, to_int
 from reportstar.functions.text import extract_terminal, has_marker, strip
 from reportstar.functions.times import parse_datetime, parse_duration
+from reportstar.staging import stage
+
+#: Column of a parsed table: the cells of the row that do not parse.
+BAD = "bad_cells"
 
 
 @dataclass(frozen=True)
@@ -30,11 +35,16 @@ class Cell:
     required: bool = False
     blank_ok: bool = False
 
+    @property
+    def parsed(self) -> str:
+        return f"__parsed_{self.source}"
+
     def value(self) -> Column:
         return self.parse(F.col(self.source))
 
     def is_bad(self) -> Column:
-        failed = self.value().isNull()
+        """Whether the parse of ``source``, which is in the column ``parsed``, failed."""
+        failed = F.col(self.parsed).isNull()
         if self.required:
             return failed
         return failed & (has_marker(self.source) if self.blank_ok else F.col(self.source).isNotNull())
@@ -118,17 +128,24 @@ def drop_nonnumeric_ids(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, to_id(column)).dropna(subset=[column])
 
 
-def clean_table(name: str, raw: DataFrame) -> DataFrame:
-    """Typed columns in the order of ``CLEANED_COLUMNS``; columns beyond the layout follow."""
+def parse_table(name: str, raw: DataFrame) -> DataFrame:
+    """``clean_table`` with ``bad_cells``, the cells of the row that do not parse; each cell is parsed once."""
     rules = RULES[name]
     if rules.numeric_id:
         raw = drop_nonnumeric_ids(raw, rules.numeric_id)
+    # The values are used twice, so they stay a projection of their own.
+    raw = raw.withColumns({cell.parsed: cell.value() for cell in rules.cells})
     made = {c: strip(c) for c in rules.stripped}
-    made |= {cell.target: cell.value() for cell in rules.cells}
+    made |= {cell.target: F.col(cell.parsed) for cell in rules.cells}
     made |= {c: make() for c, make in rules.derived.items()}
     wanted = CLEANED_COLUMNS[name]
     extra = [c for c in ("source_file", "row_idx") if c in raw.columns]
-    return raw.select(*[made.get(c, F.col(c)).alias(c) for c in wanted], *extra)
+    return raw.select(*[made.get(c, F.col(c)).alias(c) for c in wanted], *extra, _bad_cells(rules).alias(BAD))
+
+
+def clean_table(name: str, raw: DataFrame) -> DataFrame:
+    """Typed columns in the order of ``CLEANED_COLUMNS``; columns beyond the layout follow."""
+    return parse_table(name, raw).drop(BAD)
 
 
 def _entry(source: str) -> Column:
@@ -152,10 +169,12 @@ def _listed(name: str, raw: DataFrame, cells: Column) -> DataFrame:
 
 def rejects(name: str, raw: DataFrame) -> DataFrame:
     """One row per bad cell: ``table, source_file, row_idx, column, raw_value``."""
-    rules = RULES[name]
-    if rules.numeric_id:
-        raw = drop_nonnumeric_ids(raw, rules.numeric_id)
-    return _listed(name, raw, _bad_cells(rules))
+    return rejects_of(name, parse_table(name, raw))
+
+
+def rejects_of(name: str, parsed: DataFrame) -> DataFrame:
+    """``rejects`` of a table that ``parse_table`` made."""
+    return _listed(name, parsed, F.col(BAD))
 
 
 def dropped_ids(name: str, raw: DataFrame) -> DataFrame:
@@ -166,25 +185,35 @@ def dropped_ids(name: str, raw: DataFrame) -> DataFrame:
     return _listed(name, raw.filter(to_id(column).isNull()), F.array(_entry(column)))
 
 
-def count_bad_cells(name: str, raw: DataFrame, seen: Observation) -> DataFrame:
-    """``raw`` as it is; ``seen`` gets the number of bad cells as ``bad`` when an action has read it all."""
-    rules = RULES[name]
-    n = F.size(_bad_cells(rules))
-    if rules.numeric_id:
-        n = F.when(to_id(rules.numeric_id).isNotNull(), n)
-    return raw.observe(seen, F.coalesce(F.sum(n), F.lit(0)).alias("bad"))
+def stage_parsed(name: str, raw: DataFrame) -> tuple[DataFrame, int]:
+    """The stored table of ``parse_table`` and its number of bad cells, which are counted while it is written."""
+    seen = Observation(f"bad cells of {name}")
+    parsed = parse_table(name, raw).observe(seen, F.coalesce(F.sum(F.size(BAD)), F.lit(0)).alias("bad"))
+    stored = stage(parsed, f"parsed_{name}")
+    return stored, seen.get["bad"]
 
 
-def bad_cell(name: str, raw: DataFrame) -> ValueError:
-    """The error for a table with a bad cell, with the first one found."""
-    cell = rejects(name, raw).take(1)[0]
+def bad_cell(name: str, parsed: DataFrame) -> ValueError:
+    """The error for a parsed table with a bad cell, with the first one found."""
+    cell = rejects_of(name, parsed).take(1)[0]
     return ValueError(f"Cannot parse {name}.{cell['column']}: {cell['raw_value']!r}")
 
 
 def clean_all(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
-    """Clean every table; ``strict`` raises ``ValueError`` when any cell is bad."""
-    if strict:
-        for name, df in raw.items():
-            if rejects(name, df).take(1):
-                raise bad_cell(name, df)
-    return {name: clean_table(name, df) for name, df in raw.items()}
+    """Clean every table; ``strict`` raises ``ValueError`` when any cell is bad.
+
+    A strict table is parsed once, into a stored table from which all else is read.
+    """
+    if not strict:
+        return {name: clean_table(name, df) for name, df in raw.items()}
+    return {name: stored.drop(BAD) for name, stored in stage_all(raw, strict).items()}
+
+
+def stage_all(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
+    """Stored tables of ``parse_table``, for typed rows and rejects alike; ``strict`` raises as ``clean_all`` does."""
+    out = {}
+    for name, df in raw.items():
+        out[name], bad = stage_parsed(name, df)
+        if strict and bad:
+            raise bad_cell(name, out[name])
+    return out

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,3 +91,49 @@ def resolve_fk(
     return attach(
         fact.withColumn(wanted, key), lookup, wanted, name_col, null_safe, **bounds
     ).drop(wanted)
+
+
+class Key(NamedTuple):
+    """A foreign key to resolve: ``id_col`` of the row of ``dim`` whose ``name_col`` equals ``source``."""
+
+    source: str
+    dim: DataFrame
+    name_col: str
+    id_col: str
+    null_safe: bool = False
+
+
+def resolve_keys(
+    fact: DataFrame, keys: Sequence[Key], strip_keys: bool = False, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``resolve_fk`` for several keys. Lookups within the bounds are broadcast, all others are met in one pass.
+
+    For those the fact is stored with row numbers. Its keys alone, as narrow rows of number, kind and text, are shuffled to the
+    lookups, of which there is one table with kinds; equal keys of a frequent name can be split by adaptive execution, since both
+    sides are plain exchanges. The ids of a row come together by its number and meet the fact in its only exchange.
+    """
+    large: list[tuple[Key, DataFrame]] = []
+    for key in keys:
+        lookup = key.dim.groupBy(key.name_col).agg(F.max(key.id_col).alias(key.id_col)).withColumnRenamed(key.name_col, _KEY)
+        stored, rows, size = stage_measured(lookup, "lookup")
+        if rows <= max_rows and size <= max_bytes:
+            wanted = strip(key.source) if strip_keys else F.col(quoted(key.source))
+            same = wanted.eqNullSafe(F.col(_KEY)) if key.null_safe else wanted == F.col(_KEY)
+            fact = fact.join(F.broadcast(stored), same, "left").drop(_KEY)
+        else:
+            large.append((key, stored))
+    if not large:
+        return fact
+    row, kind = "__fact_row", "__kind"
+    stored_fact = stage(fact.withColumn(row, F.monotonically_increasing_id()), "fact")
+    text = lambda k: (strip(k.source) if strip_keys else F.col(quoted(k.source))).cast("string")
+    wanted = F.array(*[F.struct(F.lit(i).alias(kind), text(k).alias("__text"), F.lit(k.null_safe).alias("__safe")) for i, (k, _) in enumerate(large)])
+    # A NULL that meets nothing needs no lookup.
+    narrow = stored_fact.select(row, F.inline(wanted)).filter("__text is not null or __safe").drop("__safe")
+    parts = [df.select(F.lit(i).alias("__of"), F.col(_KEY).cast("string").alias(_KEY), F.col(k.id_col).cast("bigint").alias("__id")) for i, (k, df) in enumerate(large)]
+    known = stage(reduce(DataFrame.unionByName, parts), "lookups")
+    met = narrow.join(known, (F.col(kind) == F.col("__of")) & F.col("__text").eqNullSafe(F.col(_KEY)))
+    ids = met.groupBy(F.col(row).alias("__row")).agg(*[F.max(F.when(F.col(kind) == i, F.col("__id"))).alias(f"__id{i}") for i in range(len(large))])
+    found = stored_fact.join(ids, F.col(row) == F.col("__row"), "left")
+    made = [F.col(f"__id{i}").cast(k.dim.schema[k.id_col].dataType).alias(k.id_col) for i, (k, _) in enumerate(large)]
+    return found.select(*[F.col(quoted(c)) for c in fact.columns], *made)

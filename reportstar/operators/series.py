@@ -28,10 +28,6 @@ def period(ds: Column, freq: str) -> Column:
     return ds if step_days(freq) == 1 else week_ending(ds)
 
 
-def _calendar(low: Column, high: Column, freq: str) -> Column:
-    return F.explode(F.sequence(low, high, F.make_dt_interval(F.lit(step_days(freq)))))
-
-
 def to_frequency(series: DataFrame, freq: str, keys: list[str]) -> DataFrame:
     """Sum a series ``*keys, ds, y`` per period."""
     return (
@@ -39,17 +35,20 @@ def to_frequency(series: DataFrame, freq: str, keys: list[str]) -> DataFrame:
     )
 
 
-def fill_gaps(series: DataFrame, owners: DataFrame, low, high, freq: str, keys: list[str]) -> DataFrame:
-    """Every period from ``low`` to ``high`` for every row of ``owners``; gaps are 0.
+def fill_gaps(series: DataFrame, low: date, high: date, freq: str, keys: list[str]) -> DataFrame:
+    """Every period from ``low`` to ``high`` for every key of ``series``; gaps are 0.
 
-    Zero rows are added and summed in, which needs one shuffle and no join.
+    ``series`` has one row per key and period. Its rows are all that is shuffled: behind the shuffle each is followed by zero
+    rows up to the next one of its key, the first one is also led by them.
     """
-    zeros = owners.select(
-        *keys, _calendar(F.lit(low), F.lit(high), freq).alias("ds"), F.lit(0).cast(MONEY).alias("y")
-    )
-    return series.select(*keys, "ds", "y").unionByName(zeros).groupBy(*keys, "ds").agg(
-        F.sum("y").cast(MONEY).alias("y")
-    )
+    step = F.make_dt_interval(F.lit(step_days(freq)))
+    own = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("ds")
+    begin = F.when(F.lag("ds").over(own).isNull(), F.lit(low)).otherwise(F.col("ds"))
+    end = F.coalesce(F.date_sub(F.lead("ds").over(own), step_days(freq)), F.lit(high))
+    rows = series.select(*keys, "ds", "y", begin.alias("begin"), end.alias("end"))
+    each = rows.select(*keys, "y", F.col("ds").alias("of"), F.explode(F.sequence("begin", "end", step)).alias("ds"))
+    value = F.when(F.col("ds") == F.col("of"), F.col("y")).otherwise(F.lit(0))
+    return each.select(*keys, "ds", value.cast(MONEY).alias("y"))
 
 
 def revenue_series(cash: DataFrame, freq: str = "D") -> DataFrame:
@@ -66,8 +65,7 @@ def revenue_series(cash: DataFrame, freq: str = "D") -> DataFrame:
     ).first()
     if not total:
         raise ValueError("No income data found in fact_cash_transactions")
-    one = cash.sparkSession.range(1)
-    return fill_gaps(to_frequency(daily, freq, []), one, low, high, freq, []).select(
+    return fill_gaps(to_frequency(daily, freq, []), low, high, freq, []).select(
         "ds", F.col("y").cast("double").alias("y")
     )
 
@@ -111,8 +109,7 @@ def consumption_series(
 ) -> tuple[DataFrame, DataFrame]:
     """``item_periods`` with every period of the calendar present: ``(item_name, ds, y)``, and the skipped items."""
     kept, skipped, low, high = item_periods(stock, items, freq, min_periods)
-    owners = kept.select("item_name").distinct()
-    filled = fill_gaps(kept, owners, low, high, freq, ["item_name"]) if low else kept
+    filled = fill_gaps(kept, low, high, freq, ["item_name"]) if low else kept
     return filled.select("item_name", "ds", F.col("y").cast("double").alias("y")), skipped
 
 

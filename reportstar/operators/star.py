@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportstar.functions.text import classify_terminal, has_marker, strip
-from reportstar.operators.lookup import resolve_fk
+from reportstar.operators.lookup import Key, resolve_keys
 from reportstar.operators.ordinals import with_ordinal
 
 Tables = dict[str, DataFrame]
@@ -64,16 +64,16 @@ def build_dims(cleaned: Tables) -> Tables:
     }
 
 
-def _with_cashier(df: DataFrame, dims: Tables, **options) -> DataFrame:
-    return resolve_fk(df, "cashier", dims["dim_cashier"], "cashier_name", "cashier_id", **options)
+def _cashier(dims: Tables) -> Key:
+    return Key("cashier", dims["dim_cashier"], "cashier_name", "cashier_id")
 
 
-def _with_terminal(df: DataFrame, dims: Tables, **options) -> DataFrame:
-    return resolve_fk(df, "terminal", dims["dim_terminal"], "terminal_name", "terminal_id", **options)
+def _terminal(dims: Tables) -> Key:
+    return Key("terminal", dims["dim_terminal"], "terminal_name", "terminal_id")
 
 
 def fact_cash_transactions(cleaned: Tables, dims: Tables, **options) -> DataFrame:
-    df = _with_terminal(_with_cashier(cleaned["cash"], dims, **options), dims, **options)
+    df = resolve_keys(cleaned["cash"], [_cashier(dims), _terminal(dims)], **options)
     return df.select(
         "cashier_id",
         F.col("date").alias("transaction_datetime"),
@@ -86,7 +86,7 @@ def fact_cash_transactions(cleaned: Tables, dims: Tables, **options) -> DataFram
 
 
 def fact_sessions(cleaned: Tables, dims: Tables, **options) -> DataFrame:
-    df = _with_terminal(_with_cashier(cleaned["sessions"], dims, **options), dims, **options)
+    df = resolve_keys(cleaned["sessions"], [_cashier(dims), _terminal(dims)], **options)
     return df.select(
         "cashier_id",
         "terminal_id",
@@ -103,10 +103,8 @@ def fact_sessions(cleaned: Tables, dims: Tables, **options) -> DataFrame:
 
 def fact_stock_movements(cleaned: Tables, dims: Tables, **options) -> DataFrame:
     """A NULL item name finds the NULL item, unlike a NULL terminal or cashier."""
-    df = _with_terminal(_with_cashier(cleaned["stock"], dims, **options), dims, **options)
-    df = resolve_fk(
-        df, "item_name", dims["dim_item"], "item_name", "item_id", null_safe=True, **options
-    )
+    item = Key("item_name", dims["dim_item"], "item_name", "item_id", null_safe=True)
+    df = resolve_keys(cleaned["stock"], [_cashier(dims), _terminal(dims), item], **options)
     return df.select(
         "cashier_id",
         F.col("date").alias("movement_datetime"),
@@ -126,7 +124,7 @@ def fact_member_stats(cleaned: Tables) -> DataFrame:
 
 
 def build_facts(cleaned: Tables, dims: Tables, **options) -> Tables:
-    """Four facts; ``options`` go to ``resolve_fk`` (``strip_keys``, broadcast bounds)."""
+    """Four facts; ``options`` go to ``resolve_keys`` (``strip_keys``, broadcast bounds)."""
     return {
         "fact_cash_transactions": fact_cash_transactions(cleaned, dims, **options),
         "fact_sessions": fact_sessions(cleaned, dims, **options),

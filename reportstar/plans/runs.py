@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from reportstar.operators.clean import bad_cell, clean_all, count_bad_cells
+from reportstar.operators.clean import BAD, stage_all
 from reportstar.operators.forecast import forecast_tables
 from reportstar.operators.star import transform
 from reportstar.operators.strip import check_width, strip_artifacts
@@ -12,7 +12,7 @@ from reportstar.sources.grid import scan_reports
 from reportstar.sources.layouts import LAYOUTS
 from reportstar.sources.publish import place, publish
 from reportstar.sources.star import load_data, read_table, write_all, write_table
-from reportstar.staging import run_folders, stage
+from reportstar.staging import run_folders
 
 
 def ingest_all(
@@ -36,18 +36,14 @@ def run_etl(
 ) -> DataFrame:
     """Build and write the star schema; returns the rows per written table, counted while they are written.
 
-    The stripped text tables are staged as columns, since dimensions read two or three of
-    their columns and facts all of them. Bad cells are counted in that same pass and abort the run
-    unless ``strict`` is off. The staged tables are removed at the end.
+    Each report is read once: stripped, parsed and stored as typed columns with its bad cells, which are counted in that same
+    pass and abort the run unless ``strict`` is off. Dimensions and facts read the stored columns that they need. The
+    stored tables are removed at the end.
     """
     with run_folders(spark):
-        raw = {}
-        for name, df in ingest_all(spark, input_dir, input_fmt).items():
-            seen = Observation(f"bad_{name}")
-            raw[name] = stage(count_bad_cells(name, df, seen) if strict else df, f"raw_{name}")
-            if strict and seen.get["bad"]:
-                raise bad_cell(name, raw[name])
-        rows = write_all(transform(clean_all(raw)), output_dir, fmt)
+        parsed = stage_all(ingest_all(spark, input_dir, input_fmt), strict)
+        cleaned = {name: df.drop(BAD) for name, df in parsed.items()}
+        rows = write_all(transform(cleaned), output_dir, fmt)
     return spark.createDataFrame(list(rows.items()), "table string, rows bigint")
 
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from reportstar.operators.clean import CLEANED_COLUMNS, clean_all, clean_table, rejects
+from reportstar.operators.clean import CLEANED_COLUMNS, clean_all, clean_table, parse_table, rejects, rejects_of, stage_all
 from reportstar.sources.layouts import LAYOUTS
 
 CASH = [
@@ -91,3 +91,31 @@ def test_strict_raises(spark):
     with pytest.raises(ValueError, match="45 seconds"):
         bad = [SESSIONS[0][:5] + ("45 seconds",) + SESSIONS[0][6:]]
         clean_all(raw_tables(spark, sessions=bad), strict=True)
+
+
+def test_strict_cleaning_reads_its_input_once(spark, rows, tmp_path):
+    good = [(n, "23.03.2026 03:23:54", "Income", "Cash", "x", f"{n},50 TND", None) for n in "1234567"]
+    raw_tables(spark, cash=good)["cash"].write.parquet(f"{tmp_path}/cash")
+    raw = {"cash": spark.read.parquet(f"{tmp_path}/cash")}
+    sc = spark.sparkContext
+    sc.setJobGroup("strict", "")
+    cleaned = clean_all(raw, strict=True)
+    jobs = sc.statusTracker().getJobIdsForGroup("strict")
+    sc.setJobGroup("other", "")
+    store, read = sc._jsc.sc().statusStore(), 0
+    for stage_id in {s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds}:
+        tasks = store.taskList(stage_id, 0, 1000)
+        for i in range(tasks.size()):
+            metrics = tasks.apply(i).taskMetrics()
+            read += metrics.get().inputMetrics().recordsRead() if metrics.isDefined() else 0
+    assert read == len(good)
+    assert not [f for f in cleaned["cash"].inputFiles() if str(tmp_path / "cash") in f]
+    assert rows(cleaned["cash"]) == rows(clean_table("cash", raw["cash"]))
+
+
+def test_one_parse_gives_rows_and_rejects(spark, rows):
+    parsed = stage_all(raw_tables(spark, cash=BAD_CASH))["cash"]
+    raw = raw_tables(spark, cash=BAD_CASH)["cash"]
+    assert rows(rejects_of("cash", parsed)) == rows(rejects("cash", raw)) and parsed.count() == 3
+    plan = parse_table("cash", raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("TND,") == 2  # one parse: plain numbers, and all others

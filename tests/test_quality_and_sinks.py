@@ -42,6 +42,33 @@ def test_integrity_counts_nulls_orphans_and_repeated_keys(spark, rows):
     assert rows(quality.orphans(fact, "a_id", dim, "a_id")) == [(9, 2)]
 
 
+def test_integrity_by_bitmaps_and_by_groups(spark, rows, monkeypatch):
+    ids = [*range(1, 70_000, 2), 5, 5, 7, None, None, 131_072, -3, 0]
+    used = [*range(0, 200, 3), *range(60_001, 60_101), 131_072, 131_073, -3, -4, None, 99_999, 99_999]
+    tables = {
+        "dim_a": spark.createDataFrame([(i,) for i in ids], "a_id bigint"),
+        "dim_b": spark.createDataFrame([(i * 10**12,) for i in range(50)], "b_id bigint"),
+        "dim_c": spark.createDataFrame([], "c_id bigint"),
+        "fact_f": spark.createDataFrame([(i, (i or 0) * 10**12, None) for i in used], "a_id bigint, b_id bigint, c_id int"),
+        "fact_g": spark.createDataFrame([(1,), (3,)], "a_id int"),
+    }
+    assert quality._dense(tables) == {"dim_a"}
+    mixed = rows(quality.integrity(tables)), rows(quality.key_report(tables))
+    lost = sum(i is not None and i not in set(ids) for i in used)
+    assert ("fact_f", "a_id", "dim_a", len(used), 1, lost) in mixed[0] and ("fact_g", "a_id", "dim_a", 2, 0, 0) in mixed[0]
+    assert ("dim_a", len(ids), len(set(ids) - {None}), 2, 2) in mixed[1]
+    monkeypatch.setattr(quality, "_dense", lambda _: set())
+    assert (rows(quality.integrity(tables)), rows(quality.key_report(tables))) == mixed
+
+
+def test_whole_bitmaps_need_one_exchange_of_the_facts(spark):
+    tables = {"dim_a": spark.range(1, 1000).toDF("a_id"), "fact_f": spark.range(1, 500).select(F.col("id").alias("a_id"))}
+    report = quality.integrity(tables)
+    assert [tuple(r) for r in report.collect()] == [("fact_f", "a_id", "dim_a", 499, 0, 0)]
+    # The stored bitmaps are reduced once more; the ids themselves were grouped by range only.
+    assert report._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 2
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_round_trip(spark, rows, tmp_path, fmt):
     tables = star.transform(cleaned_tables(spark))

@@ -90,6 +90,17 @@ def test_derived_revenue(spark, rows):
     assert rows(derived_revenue(c, p)) == [("d1", 3.0), ("d2", 0.0)]
 
 
+def test_gaps_are_filled_behind_the_only_shuffle(spark):
+    rows = [("a", 3, 1.0), ("a", 40, 2.0), ("b", 0, 5.0), ("c", 999, 7.0), (None, 5, 1.0)]
+    days = [dt.date(2026, 1, 1) + dt.timedelta(days=i) for i in range(1000)]
+    df = spark.createDataFrame([(k, days[d], y) for k, d, y in rows], "k string, ds date, y double")
+    filled = series.fill_gaps(df, days[0], days[-1], "D", ["k"])
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange") and "Union" not in plan
+    got = {(r["k"], r["ds"]): float(r["y"]) for r in filled.collect()}
+    assert len(got) == 4000 and {(k, days.index(d), y) for (k, d), y in got.items() if y} == set(rows)
+
+
 def lasso(x, y, penalty):
     """Coordinate descent over the columns of ``x``, which are standardised."""
     d = np.zeros(x.shape[1])
