@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reportstar.llm import near_copies
 from reportstar.llm.common import append_column, components, free_name, staged, text_chunks, with_row_key
 
 LIMIT = 2
@@ -134,8 +135,14 @@ def group_documents(docs: DataFrame, row: str) -> DataFrame:
     return table.join(labels, F.col("f") == F.col("lf")).drop("lf")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group, the one with the smallest ``doc_id`` (of repeated rows the first)."""
+def keep_one(docs: DataFrame, words: int = WORDS, likeness: float | None = None) -> DataFrame:
+    """One row of each group, the one with the smallest ``doc_id`` (of repeated rows the first).
+
+    Groups are linked by ``LIMIT`` bits of the fingerprints over ``WORDS`` words; with a ``likeness``, by that share of common
+    shingles of ``words`` words, which wider fingerprints find (``near_copies``).
+    """
+    if likeness is not None:
+        return near_copies.keep_one(docs, words, likeness)
     row, kept = free_name(docs, "simhash_row"), free_name(docs, "simhash_kept")
     keyed = with_row_key(docs, row)
     table = group_documents(keyed, row).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

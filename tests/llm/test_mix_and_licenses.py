@@ -11,10 +11,11 @@ import pytest
 
 import corpus_pipeline
 from check_oracle import compare, connect
-from reportstar.llm import decontaminate, licenses, mixing, quality, simhash
+from reportstar.llm import decontaminate, licenses, mixing, quality
 from reportstar.llm.queries import ORACLE, QUERIES
 from reportstar.staging import new_path, stage
-from test_exact import fingerprint, words
+from test_exact import words
+from test_near_copies import brute_keep
 from test_whole_runs import brute_maximal
 
 SMOKE = "/root/testdata/sf0.001"
@@ -114,25 +115,15 @@ def test_pipeline_against_its_stages_by_hand(spark):
     assert {i for i, *_ in state} <= {i for i, *_ in rows} and len(state) >= len(rows) - 4
     kept = Counter(brute_maximal([(i, t) for i, t, _ in state], 8))
     source = {i: s for i, _, s in state}
-    prints = {f: f for f in {fingerprint(t) for _, t in kept.elements()}}
-    changed = True
-    while changed:
-        changed = False
-        for a in prints:
-            for b in prints:
-                if (a ^ b).bit_count() <= 2 and prints[b] < prints[a]:
-                    prints[a], changed = prints[b], True
-    first = {}
-    for i, t in sorted(kept.elements(), key=lambda x: (x[0] is None, x[0] or 0)):
-        first.setdefault(prints[fingerprint(t)], (i, t))
+    ordered = list(kept.elements())
+    first = [ordered[k] for k in brute_keep(ordered)]
     index = decontaminate.Passages([b for b in bench if b[1]])
-    clean = [(i, t) for (i, t), hits in zip(first.values(), index.search([t for _, t in first.values()]), strict=True) if not hits]
+    clean = [(i, t) for (i, t), hits in zip(first, index.search([t for _, t in first]), strict=True) if not hits]
     assert len(clean) < len(first) < len(state)
     n = copies([(i, source[i]) for i, _ in clean], mixing.TARGET, mixing.DEFAULT)
     want = Counter({(i, t, "en", source[i], len(t) if t is not None else None): k for (i, t), k in zip(clean, n, strict=True) if k})
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, folder).collect()) == want
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "decontamination", "mix"]
-    assert simhash.LIMIT == 2
 
 
 @pytest.mark.skipif(not Path(SMOKE).is_dir(), reason="benchmark tables not present")
