@@ -14,10 +14,12 @@ from reportstar.staging import stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on ``labels``, takes for good; null and empty texts are scored like any other."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the later copies of repeated runs of lines; ``n_chars`` follows the text. Null texts stay null."""
     kept = linededup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -25,14 +27,17 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    """One document of each group of texts that share four fifths of their five-word shingles."""
+    return simhash.keep_one(docs, words=5, likeness=0.8)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ``benchmark``; without passages all stay."""
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, or left out, so that sources have their target weights, in a shuffled order."""
     return mixing.mix_sources(docs)
 
 
