@@ -256,18 +256,21 @@ def repeated_windows(common: np.ndarray, before: list[bytes], lo: np.ndarray, hi
     return found
 
 
+#: Numbers that stand for the bytes in the second hash of a window: no linear function of the bytes, so neither hash gives the other.
+_SHUFFLED = np.random.default_rng(128).permutation(256).astype(np.uint8)
+
 _WINDOW_SCHEMA = "h1 long, h2 long, gram long, context long, lo short, hi short, a int"
 
 
 def _name_windows(batches):
-    """128-bit names of all windows of the contexts of crowded grams."""
+    """128-bit names of all windows of the contexts of crowded grams: two hashes, the second of other numbers for the bytes."""
     for batch in batches:
         for raw, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for x in found:
                 a = np.arange(x["lo"], x["hi"] + 1)
                 data = np.frombuffer(raw[x["place"] - x["hi"] : x["place"] - x["lo"] + LENGTH], np.uint8)
                 start = x["hi"] - a
-                names = RollingHash(data).slices(start, start + LENGTH), RollingHash(~data).slices(start, start + LENGTH)
+                names = [RollingHash(x).slices(start, start + LENGTH) for x in (data, _SHUFFLED[data])]
                 same = lambda k: pa.array(np.full(len(a), x[k]))  # noqa: B023, E731
                 columns = [*(pa.array(n.view(np.int64)) for n in names), same("gram"), same("context")]
                 columns += [same("lo").cast(pa.int16()), same("hi").cast(pa.int16()), pa.array(a.astype(np.int32))]

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 from reportstar.llm import embed_dedup, linededup, simhash, suffix_dedup
-from reportstar.llm.common import components, with_row_key
+from reportstar.llm.common import RollingHash, components, with_row_key
 from reportstar.staging import stage
 
 DOCS = "doc_id long, text string, line_row string, suffix_row int, simhash_row string"
@@ -62,6 +62,21 @@ def test_suffix_dedup(spark, texts, monkeypatch, crowded):
     assert sorted(got, key=repr) == brute_repeats(texts, 200)
 
 
+def test_the_two_hashes_of_a_window_do_not_determine_each_other():
+    """Windows whose bytes have equal sums, weighted as in the first hash, differ in the second, and no constant relates both."""
+    rng = np.random.default_rng(6)
+    windows = rng.integers(0, 256, (300, 200)).astype(np.uint8)
+    names = []
+    for w in windows:
+        first, second = (RollingHash(x) for x in (w, suffix_dedup._SHUFFLED[w]))
+        names.append((int(first.sums[-1]), int(second.sums[-1])))
+    sums = {(a + b) % 2**64 for a, b in names}
+    gaps = {(a - b) % 2**64 for a, b in names}
+    assert len(sums) == len(gaps) == 300
+    # A change of two bytes that leaves their sum shows in the second hash.
+    assert any(int(suffix_dedup._SHUFFLED[i]) + int(suffix_dedup._SHUFFLED[j]) != int(suffix_dedup._SHUFFLED[i + 1]) + int(suffix_dedup._SHUFFLED[j - 1]) for i, j in ((3, 9), (40, 99), (100, 30)))
+
+
 def test_suffix_dedup_of_nothing(spark):
     assert suffix_dedup.remove_repeats(docs(spark, [])).collect() == []
     assert suffix_dedup.remove_repeats(docs(spark, [(1, None), (2, "short")])).count() == 2
