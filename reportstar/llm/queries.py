@@ -136,7 +136,7 @@ rates AS (
   SELECT source, w / sum(w) OVER () * sum(n) OVER () / n AS rate FROM sizes),
 steps AS (
   SELECT source, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p, rate
-  FROM rates, generate_series(0, 400) AS g(k) WHERE k <= rate + 12 * sqrt(rate) + 30),
+  FROM (SELECT *, unnest(generate_series(0, floor(rate + 12 * sqrt(rate) + 30)::BIGINT)) AS k FROM rates)),
 cdf AS (
   SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM steps),
 drawn AS (

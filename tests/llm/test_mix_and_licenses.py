@@ -55,6 +55,9 @@ def test_mixing(spark, weights):
 
 def test_high_rates(spark):
     docs = stage(spark.createDataFrame([(i, "a" if i else "b") for i in range(2000)], "doc_id long, source string"), "docs")
+    rare = spark.range(200_000).selectExpr("id as doc_id", "if(id = 7, 'rare', 'common') as source")
+    n = mixing.mix_sources(stage(rare, "rare"), {}, 0.1).filter("source = 'rare'").count()
+    assert abs(n - 100_000) < 5 * 100_000**0.5
     assert mixing.mix_sources(docs, {"b": 0.9}, 0.1).filter("source = 'b'").count() == copies([(i, "a" if i else "b") for i in range(2000)], {"b": 0.9}, 0.1)[0]
 
 
