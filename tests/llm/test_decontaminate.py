@@ -1,6 +1,7 @@
 """Passages found with edits, against a full edit-distance table."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -66,7 +67,7 @@ def test_all_passages_within_the_budget(spark, monkeypatch, limit, part):
         for item, passage in items:
             p, t = d.plain(passage), d.plain(text)
             if p and t:
-                most = min(int(d.EDITS * len(p)), max((len(p) - d.Q) // d.Q, 0))
+                most = int(d.EDITS * len(p))
                 edits = least_edits(p, t)
                 if edits <= most:
                     want[i, item] = edits
@@ -80,6 +81,38 @@ def test_all_passages_within_the_budget(spark, monkeypatch, limit, part):
     assert {r.doc_id for r in clean.collect()} == set(range(len(texts))) - {i for i, _ in want}
 
 
+def test_short_passages_have_their_whole_budget():
+    rng = random.Random(5)
+    items = [(f"p{m}", "".join(rng.choice("abcdef") for _ in range(m))) for m in range(1, 42)]
+    texts = []
+    for _, passage in items:
+        for _ in range(3):
+            body = changed(rng, passage, int(d.EDITS * len(passage))) if len(passage) > 9 else passage
+            texts.append("".join(rng.choice("uvwxyz") for _ in range(20)) + body + "".join(rng.choice("uvwxyz") for _ in range(9)))
+    found = d.Passages(items).search(texts)
+    for text, hits in zip(texts, found, strict=True):
+        want = {i: least_edits(p, text) for i, p in items if least_edits(p, text) <= int(d.EDITS * len(p))}
+        assert {h["item_id"]: h["edits"] for h in hits} == want and want
+
+
+def test_many_short_texts_and_passages_fit_in_little_memory():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40_000)]
+    items = [(i, "".join(rng.choice("abcdefgh") for _ in range(14))) for i in range(10_000)]
+    index = d.Passages(items)
+    tracemalloc.start()
+    found = index.search([*texts, "zz" + items[7][1] + "zz"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [h["item_id"] for h in found[-1]] == [7] and peak < 400e6
+
+
+def test_ids_keep_their_type(spark):
+    docs = stage(spark.createDataFrame([(1, "holds a passage of some length here", "x", 1)], DOCS), "docs")
+    benchmark = spark.createDataFrame([("mmlu/7", "a passage of some length")], "item_id string, text string")
+    assert d.find_passages(docs, benchmark, "found").first().found[0].item_id == "mmlu/7"
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     benchmark = spark.createDataFrame([(1, "a passage of some length")], "item_id long, text string")
