@@ -6,8 +6,8 @@ code and another rotated vector an unbiased estimate of their inner product, wit
 holds with high confidence (``EPSILON`` standard units). A pair whose upper bound is below the
 threshold is dropped; every other pair is recomputed exactly, in double precision.
 
-Pairs meet in ``TABLES`` tables on ``BITS`` signs of further rotations. Of random pairs at cosine 0.9, 93 % share one of
-the 64 tables; at 0.95 it is 99.9 %. Each table is counted first, so that only
+Pairs meet in tables on signs of further rotations. The signs of a table are ``BITS``, and more than the logarithm of the number of vectors, so that
+unrelated vectors seldom meet; the tables are as many as it takes for two vectors at the threshold to share one with probability ``RECALL``. Each table is counted first, so that only
 vectors with company fetch their components. A crowded bucket is dealt into blocks whose pairs of blocks are
 compared one by one: nothing is capped. A pair counts in the first table where it meets.
 Links leave a task as counts and as a spanning set of edges, never as pairs.
@@ -19,6 +19,8 @@ length aren't compared. Equal vectors fall together first and count as each othe
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,21 +29,29 @@ from pyspark.sql import functions as F
 from reportstar.llm.common import components, reach_workers, staged
 
 THRESHOLD = 0.9
-BITS = 20
-TABLES = 64
+#: Signs of a table at least, and how many more than the logarithm of the number of vectors.
+BITS, SPARE_BITS = 20, 4
+RECALL = 0.9475
 EPSILON = 3.0
 #: Vectors of a block of a crowded bucket.
 BLOCK = 1024
-_rotations: dict[int, np.ndarray] = {}
+_rotations: dict[tuple[int, int], np.ndarray] = {}
+
+
+def plan_tables(count: int) -> tuple[int, int]:
+    """Signs of a table and number of tables for so many vectors."""
+    bits = max(BITS, math.ceil(math.log2(count + 1)) + SPARE_BITS)
+    agree = 1 - math.acos(THRESHOLD) / math.pi
+    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - agree**bits))
 
 
-def rotation(dim: int) -> np.ndarray:
-    """Random orthogonal matrices side by side, ``BITS * TABLES`` columns after the first ``dim``."""
-    if dim not in _rotations:
+def rotation(dim: int, more: int = 0) -> np.ndarray:
+    """Random orthogonal matrices side by side, ``more`` columns after the first ``dim``."""
+    if (dim, more) not in _rotations:
         rng = np.random.default_rng([17, dim])
-        count = 1 + -(-BITS * TABLES // dim)
-        _rotations[dim] = np.hstack([np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(count)])[:, : dim + BITS * TABLES]
-    return _rotations[dim]
+        count = 1 + -(-more // dim)
+        _rotations[dim, more] = np.hstack([np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(count)])[:, : dim + more]
+    return _rotations[dim, more]
 
 
 def unit(rows: list) -> np.ndarray:
@@ -50,11 +60,11 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def table_keys(x: np.ndarray) -> np.ndarray:
+def table_keys(x: np.ndarray, bits: int, tables: int) -> np.ndarray:
     """Bucket of each vector in each table."""
     dim = x.shape[1]
-    signs = (x @ rotation(dim)[:, dim:]) > 0
-    return signs.reshape(len(x), TABLES, BITS) @ (1 << np.arange(BITS, dtype=np.int64))
+    signs = (x @ rotation(dim, bits * tables)[:, dim:]) > 0
+    return signs.reshape(len(x), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
 
 
 def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,16 +89,16 @@ def _lengths(column: pa.Array) -> dict[int, list[int]]:
     return out
 
 
-def _index(batches):
+def _index(batches, bits: int, tables: int):
     """Code and factor of each distinct vector, and its buckets."""
     for batch in batches:
         ids, vectors = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
         for dim, at in _lengths(vectors).items():
             x = unit([vectors[i] for i in at])
-            keys, (signs, factor) = table_keys(x), code(x)
+            keys, (signs, factor) = table_keys(x, bits, tables), code(x)
             packed = [r.tobytes() for r in np.packbits(signs > 0, axis=1)]
             names = ["u", "dim", "code", "factor", "buckets"]
-            buckets = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, TABLES, dtype=np.int32), pa.array(keys.astype(np.int32).ravel()))
+            buckets = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.astype(np.int32 if bits < 32 else np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(np.full(len(at), dim, np.int32)), pa.array(packed, pa.binary()), pa.array(factor), buckets], names=names)
 
 
@@ -116,7 +126,7 @@ class Block:
         self.signs = np.where(np.unpackbits(packed, axis=1)[:, :dim] > 0, 1, -1).astype(np.int8)
         self.rotated = self.x @ rotation(dim)[:, :dim]
         flat = table.column("buckets").combine_chunks()
-        self.buckets = np.array(flat.flatten()).reshape(len(self.u), TABLES)
+        self.buckets = np.array(flat.flatten()).reshape(len(self.u), -1)
 
     def small(self, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Linked pairs of all groups of few rows, by the distance of two rows in their group."""
@@ -223,7 +233,10 @@ def group_vectors(vectors: DataFrame) -> DataFrame:
     named = rows.withColumn("h1", F.xxhash64("embedding")).withColumn("h2", F.xxhash64(F.lit(1), "embedding"))
     distinct = named.filter("good").groupBy("h1", "h2").agg(F.any_value("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("least"))
     distinct = staged(distinct, "vectors").withColumn("u", F.monotonically_increasing_id())
-    index = staged(distinct.select("u", "embedding").mapInArrow(_index, "u long, dim int, code binary, factor double, buckets array<int>"), "vector_codes")
+    bits, tables = plan_tables(distinct.count())
+    kind = "int" if bits < 32 else "long"
+    coded = distinct.select("u", "embedding").mapInArrow(lambda batches: _index(batches, bits, tables), f"u long, dim int, code binary, factor double, buckets array<{kind}>")
+    index = staged(coded, "vector_codes")
     members = index.select("u", "dim", F.posexplode("buckets").alias("t", "bucket"))
     crowd = members.groupBy("dim", "t", "bucket").agg(F.count("*").alias("c")).filter("c > 1")
     met = members.join(crowd, ["dim", "t", "bucket"])

@@ -198,3 +198,17 @@ def test_estimates_are_unbiased_and_bounded():
     off = ~np.eye(len(x), dtype=bool)
     assert abs((estimate - true)[off].mean()) < 0.01
     assert (embed_dedup.upper_bound(signs, factor, rotated) >= true)[off].mean() > 0.99
+
+
+def test_tables_follow_from_the_number_of_vectors():
+    """Of random pairs at cosine 0.9, over nine tenths share a table, however many signs a table has."""
+    rng = np.random.default_rng(21)
+    x = embed_dedup.unit(rng.normal(size=(1500, 64)).tolist())
+    y = rng.normal(size=x.shape)
+    y = embed_dedup.unit((y - (x * y).sum(1, keepdims=True) * x).tolist())
+    y = 0.9 * x + np.sqrt(1 - 0.81) * y
+    assert embed_dedup.plan_tables(50_000) == (20, 64) and embed_dedup.plan_tables(10**8)[0] == 31
+    for count in (1000, 200_000):
+        plan = embed_dedup.plan_tables(count)
+        met = (embed_dedup.table_keys(x, *plan) == embed_dedup.table_keys(y, *plan)).any(1).mean()
+        assert met > 0.9
