@@ -9,11 +9,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
-_made: list[str] = []
+# Folders made by the run that this thread is in.
+_run: ContextVar[list[str] | None] = ContextVar("run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,21 +33,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/reportstar/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    made = _run.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
 @contextmanager
 def run_folders(spark: SparkSession):
-    """Remove, at the end, every folder of intermediate tables made inside."""
-    before = set(_made)
+    """Remove, at the end, every folder of intermediate tables made inside; yields their list.
+
+    Runs in other threads, and a run around this one, keep theirs.
+    """
+    made: list[str] = []
+    token = _run.set(made)
     try:
-        yield
+        yield made
     finally:
-        for path in [p for p in _made if p not in before]:
+        _run.reset(token)
+        for path in made:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-            _made.remove(path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

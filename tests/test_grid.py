@@ -1,11 +1,13 @@
+import threading
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from reportstar import staging
 from reportstar.operators.strip import account, check_width, strip_artifacts
 from reportstar.sources.grid import GRID_SCHEMA, scan_grid, scan_reports, scan_text_grid, scan_with_header
 from reportstar.sources.layouts import LAYOUTS
-from reportstar.staging import stage
+from reportstar.staging import run_folders, stage
 
 CASH = LAYOUTS["cash"]
 # The 18 rows of a small printed cash report.
@@ -101,13 +103,38 @@ def test_text_scan_numbers_lines_across_splits(spark, tmp_path):
 
 def test_text_is_written_once(spark, tmp_path):
     write_text(tmp_path / "cash", "a.txt", PRINTED)
-    before = len(staging._made)
-    grid = scan_text_grid(spark, str(tmp_path / "cash"), "cash")
-    kept = stage(strip_artifacts(grid, CASH, keep_position=True), "kept")
-    made = staging._made[before:]
-    assert kept.count() == 3
-    texts = [p for p in made if any(t == "string" and c not in ("__lookup_key", "source_file") for c, t in spark.read.parquet(p).dtypes)]
-    assert texts == made[-1:] and len(made) == 2  # the counts of the splits, and the rows
+    with run_folders(spark) as made:
+        grid = scan_text_grid(spark, str(tmp_path / "cash"), "cash")
+        kept = stage(strip_artifacts(grid, CASH, keep_position=True), "kept")
+        assert kept.count() == 3
+        texts = [p for p in made if any(t == "string" and c not in ("__lookup_key", "source_file") for c, t in spark.read.parquet(p).dtypes)]
+        assert texts == made[-1:] and len(made) == 2  # the counts of the splits, and the rows
+
+
+def test_runs_remove_their_own_folders(spark, tmp_path):
+    paths = {}
+
+    def other():
+        with run_folders(spark):
+            paths["other"] = stage(spark.range(3), "other").inputFiles()[0]
+            begun.set()
+            done.wait(60)
+            assert exists(paths["other"])
+
+    exists = lambda p: Path(p.removeprefix("file:")).exists()
+    begun, done = threading.Event(), threading.Event()
+    with run_folders(spark):
+        outer = stage(spark.range(2), "outer").inputFiles()[0]
+        thread = threading.Thread(target=other)
+        thread.start()
+        begun.wait(60)
+        with run_folders(spark):
+            inner = stage(spark.range(1), "inner").inputFiles()[0]
+        assert not exists(inner) and exists(outer) and exists(paths["other"])
+    assert not exists(outer) and exists(paths["other"])
+    done.set()
+    thread.join()
+    assert not exists(paths["other"])
 
 
 def test_scan_reports_from_parquet(spark, tmp_path):
