@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportstar.functions.numbers import MONEY, clamp_zero
+from reportstar.functions.numbers import clamp_zero
 from reportstar.operators.explore import top
 from reportstar.operators.lookup import attach
 from reportstar.operators.series import (
@@ -47,6 +47,8 @@ TOP_ITEMS = 10
 #: Series that are solved together.
 TOGETHER = 1024
 
+#: Values: 26 digits before the point. That leaves their sums, with periods as weights, six more.
+_VALUE = "decimal(32,6)"
 _SUM = "decimal(38,6)"
 
 
@@ -64,7 +66,7 @@ def _periods(series: DataFrame, freq: str, span: tuple[date, date] | None) -> Da
         series = series.join(ends, F.col("series").eqNullSafe(F.col("whose")))
         first, n = F.col("first"), (F.floor(F.datediff("last", "first") / step) + 1).cast("int")
     u = F.floor(F.datediff("ds", first) / step).cast("int")
-    return series.select("series", first.alias("first"), n.alias("n"), u.alias("u"), F.col("y").cast(MONEY).alias("y"))
+    return series.select("series", first.alias("first"), n.alias("n"), u.alias("u"), F.col("y").cast(_VALUE).alias("y"))
 
 
 def _sums(periods: DataFrame, seasons: int, horizon: int) -> DataFrame:
@@ -175,8 +177,8 @@ def forecast(
     """``*keys, ds, yhat, yhat_lower, yhat_upper`` for ``horizon`` periods after each series.
 
     ``series`` holds ``*keys, ds, y`` with every period present, or, with the ``span`` of the first and last
-    period of all series, only those with a value. All values are at least 0. Values are taken with six decimals,
-    up to the bound of sums of money.
+    period of all series, only those with a value. All values are at least 0. Values are taken with six decimals
+    and below 1e26; larger ones raise an error.
     """
     step = step_days(freq)
     # One column for all keys, whose names then cannot meet those of the model.

@@ -195,6 +195,17 @@ def test_values_of_every_size(spark):
         assert np.allclose(shapes[f], shapes[1.0], rtol=1e-6, atol=1e-9)
 
 
+def test_values_beyond_sums_of_money(spark):
+    first = DAY0.date()
+    rows = [(f, first + dt.timedelta(days=i), f * (500 + i % 7)) for f in (1e20, 1e23, 1.0) for i in range(2400)]
+    df = spark.createDataFrame(rows, "k double, ds date, y double")
+    shapes = {}
+    for r in forecast(df, ["k"], 7).orderBy("ds").collect():
+        shapes.setdefault(r["k"], []).append([r[c] / r["k"] for c in ("yhat", "yhat_lower", "yhat_upper")])
+    for f in (1e20, 1e23):
+        assert np.allclose(shapes[f], shapes[1.0], rtol=1e-6)
+
+
 def test_coverage(spark):
     rng = random.Random(8)
     rows = [(k, DAY0.date() + dt.timedelta(days=i), max(50 + 9 * (i % 7) + rng.gauss(0, 6), 0.0)) for k in "abcdef" for i in range(200)]
