@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reportstar.operators.strip import account, check_width, strip_artifacts
+from reportstar.plans.raw_views import printed, write_printed_text
 from reportstar.sources.grid import GRID_SCHEMA, scan_grid, scan_reports, scan_text_grid, scan_with_header
 from reportstar.sources.layouts import LAYOUTS
 from reportstar.staging import run_folders, stage
@@ -159,3 +160,21 @@ def test_header_scan(spark):
         scan_with_header(grid.unionByName(other))
     with pytest.raises(ValueError):
         scan_with_header(grid, header_row=99)
+
+
+def test_a_text_line_is_split_once(spark, tmp_path):
+    write_text(tmp_path / "cash", "a.txt", PRINTED)
+    kept = strip_artifacts(scan_text_grid(spark, str(tmp_path / "cash"), "cash"), CASH)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("split(value") == 1
+    assert kept.count() == 3
+
+
+def test_printed_texts_are_a_file_per_partition_in_order(spark, tmp_path):
+    raw = spark.range(0, 90, 1, 3).select(*[F.concat(F.lit(f"{c} "), "id").alias(c) for c in CASH.columns.values()])
+    grid = printed(raw, "cash")
+    write_printed_text(grid, str(tmp_path / "cash"))
+    want = {}
+    for r in grid.orderBy("row_idx").collect():
+        want.setdefault(r["source_file"], []).append("\t".join(r["cells"]))
+    got = [f.read_text().splitlines() for f in (tmp_path / "cash").glob("*.txt")]
+    assert len(got) == 3 and sorted(got) == sorted(want.values())
